@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, pii, warc
+from . import exact_dedup, langid, pii, quality, spm, toxicity, warc
+
+#: A public model file, a parameter of op4's operator.
+MODEL = os.environ.get("SPM_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,21 +20,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = langid.fit_on(docs.filter(~langid.held_out(F.col("doc_id"))))
+    return langid.predict(docs, models, reject=False).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "fits")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.encode(table(spark, sf_dir, "documents"), MODEL)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.predict(docs, toxicity.fit_on(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_on(docs, table(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id"))))
+    return quality.predict(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_langid": op1_langid,
     "op3_warc": op3_warc,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op6_toxicity": op6_toxicity,
     "op8_pii": op8_pii,
+    "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -38,8 +68,8 @@ ORACLES: dict[str, str] = {
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, url, octet_length(encode(h)) AS payload_bytes, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS best FROM p)
         SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
-               list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-                   1 + (((('0x' || substr(s, 1 + 5 * (i // 4)::INT, 5))::BIGINT) >> ((3 - (i % 4)) * 5)::INT) & 31)::INT, 1)), 'string_agg', '') AS payload_digest,
+               list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + (((('0x' || substr(s, 1 + 5 * (i // 4)::INT, 5))::BIGINT) >> ((3 - (i % 4)) * 5)::INT) & 31)::INT, 1) FOR i IN range(32)], 'string_agg', '') AS payload_digest,
                CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to, url
         FROM d""",
