@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, pii, quality, spm, toxicity, warc
+from . import decontaminate, exact_dedup, langid, pii, quality, spm, toxicity, warc
 
 #: A public model file, a parameter of op4's operator.
 MODEL = os.environ.get("SPM_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -34,6 +34,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encode(table(spark, sf_dir, "documents"), MODEL)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.best_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.predict(docs, toxicity.fit_on(docs, table(spark, sf_dir, "labels")))
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op1_langid": op1_langid,
     "op3_warc": op3_warc,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
