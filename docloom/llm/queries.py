@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, langid, pii, quality, spm, toxicity, warc
+from . import decontaminate, exact_dedup, jaccard_join, langid, pii, quality, spm, toxicity, warc
 
 #: A public model file, a parameter of op4's operator.
 MODEL = os.environ.get("SPM_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -43,6 +43,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, toxicity.fit_on(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
