@@ -3,16 +3,17 @@
 The model file is parsed here (a small protobuf reader, no sentencepiece needed), and the parts are rebuilt: the
 normaliser (precompiled character map, white-space removal, dummy prefix), the metaspace marker, unigram scores or the
 merges that a BPE model's scores imply, and byte fallback. Where no piece has a marker behind another character, a text
-falls into segments that no piece crosses; each distinct segment of a batch is then encoded once by the library's
-threads and the results are put together by array operations.
+falls into segments that no piece crosses; each distinct segment is then encoded once by the library's threads and the
+results are put together by array operations. Words are told apart by 64-bit hashes of their bytes and lengths.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 from operator import eq
@@ -22,12 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import AddedToken, Tokenizer, decoders, models, normalizers
 
+from .common import Words, chunks, text_buffers
+
 MARK = "▁"
 # Fixed values of the model format: kinds of models and of pieces.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Segments kept for later batches of the same worker; beyond it the cache starts anew, which changes no result.
-CACHE = 400_000
+#: Words kept for later batches of the same worker; beyond it the cache starts anew, which changes no result.
+CACHE = 2_000_000
+#: Bytes of text that are encoded at once.
+GROUP_BYTES = 4 << 20
 
 
 # ------------------------------------------------------------------ the model file
@@ -124,6 +129,8 @@ class Processor:
     """Encodes and decodes batches of texts as the model file's own library does."""
 
     def __init__(self, data: bytes):
+        # the library's threads: as many as the task's worker may use, two at least
+        os.environ.setdefault("RAYON_NUM_THREADS", str(max(2, int(os.environ.get("OMP_NUM_THREADS") or 2))))
         self.model = parse_model(data)
         self.tokenizer = build(self.model)
         #: the same without the removal of the dummy prefix, for segments
@@ -136,11 +143,12 @@ class Processor:
         self._forget()
 
     def _forget(self) -> None:
-        self.cache: dict[str, int] = {}
-        self.size = np.zeros(0, np.int64)
+        #: of each word known: its hash (sorted), where its ids begin in the pool, how many, and whether they decode to it
+        self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int64)
         self.whole = np.zeros(0, bool)
+        self.pool = np.zeros(0, np.int32)
 
     def normalise(self, text: str) -> str:
         """The text as the model sees it, before spaces become marks."""
@@ -167,33 +175,74 @@ class Processor:
             return [MARK + w for w in text[1:].split(MARK)]
         return [s for s in re.findall(f"{MARK}*[^{MARK}]*", text) if s]
 
-    def encode_batch(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, offsets, whole): ids of text i are ids[offsets[i]:offsets[i + 1]]; whole: decoding them gives its normal form.
+    def _encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, sizes, whole) of segments, by the library's threads; whole: decoding the ids gives the segment back."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        return flat, sizes, np.fromiter(map(eq, self._surface(ids), segments), bool, len(segments))
 
-        Decoding acts on each segment alone, so a text is whole if its segments are; each distinct one is decoded once.
+    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, sizes, whole) of any texts: normalised, cut into segments, each distinct segment encoded once.
+
+        Decoding acts on each segment alone, so a text is whole if its segments are.
         """
         parts = [self._segments(t) for t in texts]
-        flat = [s for p in parts for s in p]
-        if len(self.cache) > CACHE:
+        number = {s: k for k, s in enumerate(dict.fromkeys(chain.from_iterable(parts)))}
+        flat, sizes, whole = self._encode(list(number))
+        which = np.fromiter((number[s] for p in parts for s in p), np.int64, sum(map(len, parts)))
+        return _gather(flat, np.cumsum(sizes) - sizes, sizes, whole, which, np.array([len(p) for p in parts], np.int64))
+
+    def _encode_words(self, raw: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for texts that are words with one space between, by the hashes of the words."""
+        kinds, first, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE:
             self._forget()
-        new = [s for s in dict.fromkeys(flat) if s not in self.cache]
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            base = len(self.size)
-            self.cache.update((s, base + k) for k, s in enumerate(new))
-            self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(sizes) - sizes])
-            self.size = np.concatenate([self.size, sizes])
-            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))])
-            self.whole = np.concatenate([self.whole, np.fromiter(map(eq, self._surface(ids), new), bool, len(new))])
-        which = np.fromiter(map(self.cache.__getitem__, flat), np.int64, len(flat))
-        sizes = self.size[which]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.at[which] - (ends - sizes), sizes) + np.arange(total)]
-        words = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        damaged = np.concatenate([[0], np.cumsum(~self.whole[which])])[words]
-        return ids, np.concatenate([[0], ends])[words].astype(np.int64), np.diff(damaged) == 0
+        i = np.searchsorted(self.keys, kinds)
+        known = self.keys[np.minimum(i, len(self.keys) - 1)] == kinds if len(self.keys) else np.zeros(len(kinds), bool)
+        if not known.all():
+            new = first[~known]
+            data = raw.tobytes()
+            flat, sizes, whole = self._encode([MARK + data[a:b].decode() for a, b in zip(w.start[new].tolist(), w.end[new].tolist())])
+            to = i[~known]
+            self.keys = np.insert(self.keys, to, kinds[~known])
+            self.at = np.insert(self.at, to, len(self.pool) + np.cumsum(sizes) - sizes)
+            self.size, self.whole = np.insert(self.size, to, sizes), np.insert(self.whole, to, whole)
+            self.pool = np.concatenate([self.pool, flat])
+        return _gather(self.pool, self.at, self.size, self.whole, np.searchsorted(self.keys, kinds)[which], np.diff(w.bounds))
+
+    def encode_batch(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, offsets, whole): ids of text i are ids[offsets[i]:offsets[i + 1]]; whole: they decode to its normal form."""
+        raw, offsets = text_buffers(column)
+        n = len(offsets) - 1
+        plain = np.full(n, self.cut and self.model.dummy_prefix and not self.model.squeeze and self.precompiled is None)
+        if plain.any() and len(raw):
+            space = raw == 32
+            odd = np.zeros(len(raw), bool)
+            odd[1:] = space[1:] & space[:-1]
+            odd[:-2] |= (raw[:-2] == 0xE2) & (raw[1:-1] == 0x96) & (raw[2:] == 0x81)
+            some = np.diff(offsets) > 0
+            odd[offsets[:-1][some]] |= space[offsets[:-1][some]]
+            odd[offsets[1:][some] - 1] |= space[offsets[1:][some] - 1]
+            plain &= np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]) == 0
+        results = [(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool))] * 2
+        if plain.all():
+            results[0] = self._encode_words(raw, Words(raw, offsets, space=_SPACE))
+        else:
+            inside = pa.array(column).filter(pa.array(plain))
+            own, at = text_buffers(inside)
+            results[0] = self._encode_words(own, Words(own, at, space=_SPACE))
+            results[1] = self.encode_texts([t or "" for t in column.filter(pa.array(~plain)).to_pylist()])
+        if plain.all():
+            ids, sizes, whole = results[0]
+        else:
+            sizes, whole = np.zeros(n, np.int64), np.zeros(n, bool)
+            for (_, s, ok), rows in zip(results, (plain, ~plain)):
+                sizes[rows], whole[rows] = s, ok
+            ids = np.zeros(int(sizes.sum()), np.int32)
+            line = np.repeat(plain, sizes)
+            ids[line], ids[~line] = results[0][0], results[1][0]
+        return ids, np.concatenate([[0], np.cumsum(sizes)]), whole
 
     def _surface(self, ids: list[list[int]]) -> list[str]:
         """What the library decodes for the ids of whole segments, with marks."""
@@ -206,6 +255,8 @@ class Processor:
 
 # ------------------------------------------------------------------ on DataFrames
 
+_SPACE = np.arange(256) == 32
+
 _LOADED: dict[str, Processor] = {}
 
 
@@ -217,15 +268,15 @@ def _processor(data: bytes) -> Processor:
     return _LOADED[key]
 
 
-def _groups(texts: list[str], size: int = 8_000_000) -> Iterator[tuple[int, int]]:
-    at = total = 0
-    for k, t in enumerate(texts):
-        if total and total + len(t) > size:
-            yield at, k
-            at, total = k, 0
-        total += len(t)
-    if at < len(texts):
-        yield at, len(texts)
+def _gather(pool, at, size, whole, which, counts):
+    """(ids, sizes, whole) of texts that are `counts` segments each; which: the number of each segment."""
+    own = size[which]
+    ends = np.cumsum(own)
+    total = int(ends[-1]) if len(ends) else 0
+    ids = pool[np.repeat(at[which] - (ends - own), own) + np.arange(total)]
+    words = np.concatenate([[0], np.cumsum(counts)])
+    damaged = np.concatenate([[0], np.cumsum(~whole[which])])[words]
+    return ids, np.diff(np.concatenate([[0], ends])[words]), np.diff(damaged) == 0
 
 
 def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -243,9 +294,9 @@ def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = _processor(sent.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _groups(texts):
-                ids, offsets, same = p.encode_batch(texts[a:b])
+            _, ends = text_buffers(batch.column(1))
+            for a, b in chunks(ends, GROUP_BYTES):
+                ids, offsets, same = p.encode_batch(batch.column(1).slice(a, b - a))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)), pa.array(same)],
                                                  names=[id_col, "n_tokens", "token_ids", "round_trip"])
 

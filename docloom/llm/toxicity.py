@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U, Words, chunks, mix, text_buffers
-from .sampling import bounded_sample
+from .sampling import bounded_sample, split_of
 
 GRADES = 4
 #: Most features that the model keeps, by how far they tell the classes apart.
-FEATURES = 6000
+FEATURES = 2000
 #: A feature needs this many training texts.
 LEAST = 4
 #: Bytes at the beginning of a word that are features of their own.
@@ -79,21 +79,43 @@ class Model:
         return np.diff(np.concatenate([np.zeros((len(score), 1)), upto, np.ones((len(score), 1))], 1), axis=1)
 
 
-def fit(sample: list[tuple[int, str]], *, steps: int = 400) -> Model:
+def fit(sample: list[tuple[int, str]], *, steps: int = 400, l2: float = 1e-4, chance: float = 0.5) -> Model:
     """A model from (0 or 1, text) pairs. With one class only, no text is toxic (or, if all are, every text)."""
     y = np.array([int(label) for label, _ in sample])
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(0, U), np.zeros(0), np.full(GRADES - 1, -9.0 if len(y) and y[0] else 9.0), 0.5)
     raw, offsets = text_buffers(pa.array([t for _, t in sample], pa.string()))
-    row, h, _ = features(raw, offsets)
-    keys, which = np.unique(h, return_inverse=True)
-    r, j, c = _counts(row, which, len(keys))
+
+    def parts():
+        """(row, hash, count) of the distinct features, a few MB of text at a time."""
+        for a, b in chunks(offsets):
+            row, h, _ = features(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])) if len(h) else np.zeros(0, int)
+            yield row[first] + a, h[first], np.diff(np.concatenate([first, [len(h)]]))
+
+    known, texts = np.zeros(0, U), np.zeros(0, np.int64)
+    for _, h, _ in parts():
+        known, which = np.unique(np.concatenate([known, h]), return_inverse=True)
+        texts = np.bincount(which, np.concatenate([texts, np.ones(len(h), np.int64)]), len(known)).astype(np.int64)
+    keys = known[texts >= LEAST]
+    del known, texts
+    found = []
+    for row, h, c in parts():
+        i = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+        hit = keys[i] == h if len(keys) else np.zeros(len(h), bool)
+        found.append((row[hit], i[hit], c[hit]))
+    r, j, c = (np.concatenate(x) for x in zip(*found))
     df1, df0 = np.bincount(j, y[r], len(keys)), np.bincount(j, 1 - y[r], len(keys))
     p1, p0 = (df1 + 0.5) / (y.sum() + 1), (df0 + 0.5) / ((1 - y).sum() + 1)
     odds = np.log(p1 / (1 - p1)) - np.log(p0 / (1 - p0))
-    strength = np.where(df1 + df0 >= LEAST, np.abs(odds) * np.sqrt(df1 + df0), 0)
+    # how far a feature's texts lean to one class, in standard errors; beyond what chance gives among so many features
+    ones, zeros = y.sum(), (1 - y).sum()
+    lean = (df1 / ones - df0 / zeros) / np.sqrt(np.maximum(df1 + df0, 1) / (1.0 * ones * zeros))
+    strength = np.abs(lean)
     kept = np.sort(np.argsort(-strength, kind="stable")[:FEATURES])
-    kept = kept[strength[kept] > np.sqrt(LEAST)]
+    kept = kept[strength[kept] > chance * np.sqrt(2 * np.log(max(len(keys), 2)))]
     slot = np.full(len(keys), -1)
     slot[kept] = np.arange(len(kept))
     use = slot[j] >= 0
@@ -113,24 +135,41 @@ def fit(sample: list[tuple[int, str]], *, steps: int = 400) -> Model:
         z = np.clip(theta[None, :] - s[:, None], -50, 50)
         above = grade[:, None] > k[None, :]
         g = (1 / (1 + np.exp(-z)) - ~above) * share[:, None]  # d loss / d z of the cumulative logits
-        grad = np.concatenate([np.bincount(j, x * (-g.sum(1))[r], len(w)) + 1e-5 * w, g.sum(0)])
+        grad = np.concatenate([np.bincount(j, x * (-g.sum(1))[r], len(w)) + l2 * w, g.sum(0)])
         state[0] = 0.9 * state[0] + 0.1 * grad
         state[1] = 0.99 * state[1] + 0.01 * grad ** 2
         move = 0.05 * (state[0] / (1 - 0.9 ** step)) / (np.sqrt(state[1] / (1 - 0.99 ** step)) + 1e-8)
         w, theta = w - move[:-3], np.maximum.accumulate(theta - move[-3:])
-    m = Model(keys[kept], w, theta, 0.5)
-    s = np.bincount(r, x * w[j], len(y))
-    p = 1 - m.grades(s)[:, 0]
-    tries = np.linspace(0.05, 0.95, 91)
-    f1 = [2 * ((p >= t) & (y == 1)).sum() / max(1, (p >= t).sum() + y.sum()) for t in tries]
-    good = [t for t, f in zip(tries, f1) if f >= max(f1) - 1e-9]
-    m.threshold = float(good[len(good) // 2])
+    return Model(keys[kept], w, theta, 0.5)
+
+
+def calibrate(m: Model, sample: list[tuple[int, str]], share_toxic: float) -> float:
+    """The threshold of p_toxic with the best F1 on texts not fitted on, each class weighing as much as among all labels."""
+    y = np.array([int(label) for label, _ in sample])
+    if len(set(y.tolist())) < 2:
+        return 0.5
+    raw, offsets = text_buffers(pa.array([t for _, t in sample], pa.string()))
+    p = 1 - m.grades(np.concatenate([m.score(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in chunks(offsets)]))[:, 0]
+    weight = np.where(y == 1, share_toxic / y.sum(), (1 - share_toxic) / (1 - y).sum())
+    tries = np.linspace(0.02, 0.98, 97)
+    f1 = np.array([2 * weight[(p >= t) & (y == 1)].sum() / (weight[p >= t].sum() + share_toxic) for t in tries])
+    good = tries[f1 >= f1.max() - 1e-9]
+    return float(good[len(good) // 2])
+
+
+def fit_calibrated(sample: list[tuple[int, str]], share_toxic: float) -> Model:
+    """Four fifths of the sample fit the model, the others its threshold."""
+    fitted, other = [x for x in sample if split_of(x[1])], [x for x in sample if not split_of(x[1])]
+    m = fit(fitted)
+    m.threshold = calibrate(m, other, share_toxic)
     return m
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "toxic") -> Model:
-    """A model from a bounded sample of the labelled documents."""
-    return fit(bounded_sample(labels, docs, id_col=id_col, label_col=label_col, per_class=4000, class_bytes=20_000_000))
+    """A model from a bounded sample of the labelled documents; the share of toxic ones is counted over all labels."""
+    total, toxic = labels.filter(F.col(label_col).isNotNull()).agg(F.count(F.lit(1)), F.sum(F.col(label_col).cast("int"))).first()
+    sample = bounded_sample(labels, docs, id_col=id_col, label_col=label_col, per_class=3000, class_bytes=10_000_000)
+    return fit_calibrated(sample, (toxic or 0) / max(total, 1))
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
