@@ -32,9 +32,13 @@ from .components import components
 
 #: Share of the shingles in fragment 0. It must hold a prefix, 15 % of a set at similarity 0.85, with room to spare.
 RARE_SHARE = 0.25
-#: A block of a cell has at most so many shingles and sets (less where tasks are many: see `_units`).
+#: A block of a cell has at most so many shingles and sets.
 BLOCK_SHINGLES = 1_000_000
 BLOCK_SETS = 1_500
+#: Smaller cells are split too, into at most SPREAD blocks of SMALL_SETS, so that no task holds a large cell alone.
+SMALL_SETS, SPREAD = 128, 16
+#: A unit counts shingles that at most so many of its sets hold pair by pair, the others by matrix products.
+FEW = 6
 #: Shingles in one fragment of a unit's count.
 FRAGMENT = 4096
 
@@ -151,6 +155,14 @@ def candidate_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int, perce
     return dealt.groupBy("_g").cogroup(wanted.groupBy("_g")).applyInArrow(sets, "sid binary, n bigint, tokens array<bigint>, grams binary")
 
 
+def _added(code: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Counts of few codes as a matrix."""
+    out = np.zeros(like.size, np.float32)
+    kinds, times = np.unique(code, return_counts=True)
+    out[kinds] = times
+    return out.reshape(like.shape)
+
+
 def unit_links(first: list[np.ndarray], second: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between sets of `first` and of `second` (or within `first`), as positions in first + second."""
     sets = first + (second or [])
@@ -167,11 +179,27 @@ def unit_links(first: list[np.ndarray], second: list[np.ndarray] | None, percent
     row, column = row[many], column[many]
     width = int((times > 1).sum())
     overlap = np.zeros((k, m) if second is not None else (m, m), np.float32)
-    for at in range(0, width, FRAGMENT):  # partial overlaps of one fragment of the global order
-        a, b = np.searchsorted(column, (at, at + FRAGMENT))
+    # shingles that few sets hold: their pairs one by one; first come the sets of `first`, as the sort is stable
+    held = times[times > 1]
+    begin = np.cumsum(held) - held
+    for d in range(2, FEW + 1):
+        lines = row[begin[held == d][:, None] + np.arange(d)]
+        for x in range(d):
+            for y in range(d):
+                if x != y and len(lines):
+                    use = lines[:, x] < len(overlap)
+                    code = lines[use, x] * m + lines[use, y]
+                    overlap += np.bincount(code, minlength=overlap.size).reshape(overlap.shape).astype(np.float32) if len(code) * 4 > overlap.size else _added(code, overlap)
+    # the others: partial overlaps of one fragment of the global order at a time, summed
+    dense = np.repeat(held > FEW, held)
+    row, column = row[dense], column[dense]
+    column = np.unique(column, return_inverse=True)[1]
+    width = int((held > FEW).sum())
+    for at in range(0, width, FRAGMENT):
+        lo, hi = np.searchsorted(column, (at, at + FRAGMENT))
         part = np.zeros((m, min(FRAGMENT, width - at)), np.float32)
-        part[row[a:b], column[a:b] - at] = 1
-        used = np.unique(row[a:b])
+        part[row[lo:hi], column[lo:hi] - at] = 1
+        used = np.unique(row[lo:hi])
         lines = used[used < k] if second is not None else used
         overlap[np.ix_(lines, used)] += part[lines] @ part[used].T
     both = overlap.astype(np.int64)
@@ -193,12 +221,11 @@ def unit_links(first: list[np.ndarray], second: list[np.ndarray] | None, percent
     return out
 
 
-def _units(cells: DataFrame, parts: int) -> DataFrame:
-    """(cell, blocks): how many blocks each cell is split into, so that a unit is at most a part of a task's fair share."""
+def _units(cells: DataFrame) -> DataFrame:
+    """(cell, blocks): how many blocks each cell is split into."""
     sizes = cells.groupBy("cell").agg(F.sum("n").alias("_shingles"), F.count(F.lit(1)).alias("_sets"))
-    total = cells.count()
-    most = int(min(BLOCK_SETS, max(64, total // (8 * parts))))
-    return sizes.select("cell", F.greatest(F.lit(1), F.ceil(F.col("_shingles") / BLOCK_SHINGLES), F.ceil(F.col("_sets") / most)).cast("int").alias("blocks"))
+    spread = F.least(F.lit(SPREAD), F.ceil(F.col("_sets") / SMALL_SETS))
+    return sizes.select("cell", F.greatest(spread, F.ceil(F.col("_shingles") / BLOCK_SHINGLES), F.ceil(F.col("_sets") / BLOCK_SETS)).cast("int").alias("blocks"))
 
 
 def similarity_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -207,8 +234,7 @@ def similarity_links(sets: DataFrame, percent: int) -> DataFrame:
     heads = tokens.groupBy("token").agg(F.min("sid").alias("head"))
     cells = components(tokens.join(heads, "token").select(F.col("sid").alias("a"), F.col("head").alias("b")))
     members = materialize(sets.select("sid", "n", "grams").dropDuplicates(["sid"]).join(cells, sets.sid == cells.node).select("sid", F.col("label").alias("cell"), "n", "grams"), "cells")
-    parts = parallelism(sets.sparkSession)
-    split = members.join(_units(members.select("cell", "n"), parts), "cell").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    split = members.join(_units(members), "cell").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     dealt = split.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "grams")
 
