@@ -205,6 +205,8 @@ def unit_links(first: list[np.ndarray], second: list[np.ndarray] | None, percent
     both = overlap.astype(np.int64)
     linked = 100 * both >= percent * (size[:len(both), None] + size[None, :] - both)
     linked &= both > 0
+    if second is not None:
+        linked[:, :k] = False
     parent = list(range(m))
 
     def root(x: int) -> int:
