@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, jaccard_join, langid, pii, quality, spm, toxicity, warc
+from . import decontaminate, exact_dedup, jaccard_join, langid, pii, quality, spm, substring_dedup, toxicity, warc
 
 #: A public model file, a parameter of op4's operator.
 MODEL = os.environ.get("SPM_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -26,6 +26,11 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, models, reject=False).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "fits")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
@@ -63,6 +68,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_langid": op1_langid,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_warc": op3_warc,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontaminate": op5_decontaminate,
