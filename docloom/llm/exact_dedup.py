@@ -47,6 +47,23 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return joined.withColumns({"kept": F.col(id_col).eqNullSafe(F.col("keep_id")), "text_sha256": F.col("_sha")}).drop("_sha", "_size", "_mark")
 
 
-def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with the columns of docs."""
-    return exact_dedup(docs, id_col=id_col, text_col=text_col).filter("kept").select(*docs.columns)
+def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
+    """The rows of docs that stay, with the columns of docs: exactly one of each group of equal texts.
+
+    The same three stages, but the winning row itself is carried along, so the texts are not joined again. The text as
+    it was is carried only where normalising changed it. Of rows with one id, the one with the least hash of all its
+    columns stays; a null id is larger than any other.
+    """
+    text, others = F.col(text_col), [c for c in docs.columns if c != text_col]
+    norm = normalised(text)
+    rows = docs.select(
+        F.sha2(norm, 256).alias("_sha"), F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"), norm.alias("_text"),
+        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("mark")).alias("_rank"),
+        F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)), text.isNull().alias("null_text"), F.when(text != norm, text).alias("raw_text")).alias("_row"))
+
+    def best(frame: DataFrame, *keys: str) -> DataFrame:
+        return frame.groupBy(*keys).agg(F.min_by("_row", "_rank").alias("_row"), F.min("_rank").alias("_rank"))
+
+    whole = best(best(rows, "_sha", "_salt", "_text"), "_sha", "_text")
+    back = F.when(~F.col("_row.null_text"), F.coalesce("_row.raw_text", "_text"))
+    return whole.select(*(back.alias(c) if c == text_col else F.col(f"_row.c{others.index(c)}").alias(c) for c in docs.columns))

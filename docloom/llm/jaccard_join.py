@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard join by vertical partitioning.
 
 Every document is the set of its distinct n-word shingles. The shingles have one global order, which is cut into
-fragments: fragment 0 (the hashes below `RARE_SHARE`) is ordered by document frequency, the others follow by hash.
+fragments: fragment 0 (the lowest hashes) is ordered by document frequency, the others follow by hash.
 
 1. Documents are dealt out by groups (one shuffle of the texts that later steps reuse). Each group sends the distinct
    shingles of fragment 0; their frequencies come back for those that occur more than once.
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import U, Words, chunks, materialize, parallelism, signed, text_buffers, windows
 from .components import components
 
-#: Share of the shingles in fragment 0. It must hold a prefix, 15 % of a set at similarity 0.85, with room to spare.
-RARE_SHARE = 0.25
+#: Share of the shingles in fragment 0, beyond what a prefix holds (15 % of a set at similarity 0.85).
+RARE_SPARE = 0.10
 #: A block of a cell has at most so many shingles and sets.
 BLOCK_SHINGLES = 1_000_000
 BLOCK_SETS = 1_500
@@ -74,7 +74,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _limit(share: float) -> np.uint64:
-    return U(int(share * 2.0 ** 64))
+    return U(min(int(share * 2.0 ** 64), (1 << 64) - 1))
 
 
 def _shared_prefix(s: np.ndarray, frequent: np.ndarray, frequency: np.ndarray, percent: int, share: float) -> np.ndarray:
@@ -100,8 +100,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.pmod(F.xxhash64(id_col), F.lit(groups)).alias("_g"), F.col(text_col).alias("_text")).repartition(parts, "_g")
 
 
-def candidate_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int, percent: int, share: float = RARE_SHARE) -> DataFrame:
+def candidate_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int, percent: int, share: float | None = None) -> DataFrame:
     """(sid, n, tokens, grams): the sets that share a prefix shingle with another set, those shingles, and the set itself."""
+    share = min(1.0, 1 - percent / 100 + RARE_SPARE) if share is None else share
     dealt = _grouped(docs, id_col, text_col)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,3 +284,13 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     groups = joined.groupBy("_label").agg(F.min("_least").alias("_first"))
     final = joined.join(groups, "_label").select("sid", "_first")
     return rows.join(final, "sid", "left").select(id_col, "n_shingles", F.when(F.col("sid").isNull(), F.col(id_col)).otherwise(F.col("_first")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs whose id is the smallest of its component, with the columns of docs.
+
+    Ids should be unique; rows without an id stay. See `jaccard_components`.
+    """
+    ids = jaccard_components(docs, id_col=id_col, text_col=text_col, n=n, percent=percent)
+    gone = ids.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
