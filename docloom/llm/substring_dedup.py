@@ -14,7 +14,7 @@ Three rounds over Spark follow, each of which sends keys and gets back the small
 A. the symbols picked: shared ones reveal repeats;
 B. for shared symbols, the whole stretch of the windows that picked one (128 bits of hash): a stretch that a smaller
    document has too is repeated as a whole;
-C. for the other stretches, at the ends of repeats, each window on its own (128 bits of hash).
+C. where a symbol has several stretches, as at the ends of repeats, each window on its own (128 bits of hash).
 
 Documents are dealt out by groups in one shuffle of the texts, which all rounds reuse. A group sends a key once, so a
 passage that all documents hold makes one row for each group, never one for each document.
@@ -197,30 +197,31 @@ def _by_chunk(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, Words,
         yield a, w, w.hashes()
 
 
-def _keys(group: np.ndarray, k1: np.ndarray, k2: np.ndarray, doc: np.ndarray) -> list[pa.Array]:
-    """One row for each (group, k1, k2), with the smallest and the largest document."""
+def _keys(group: np.ndarray, k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, total: np.ndarray | None = None) -> list[pa.Array]:
+    """One row for each (group, k1, k2): the smallest and the largest document, how often it occurs; total is passed on."""
     order = np.lexsort((doc, k2, k1, group))
     group, k1, k2, doc = group[order], k1[order], k2[order], doc[order]
     new = np.ones(len(k1), bool)
     new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (group[1:] != group[:-1])
     a = np.flatnonzero(new)
     b = np.concatenate([a[1:], [len(k1)]]).astype(int)[:len(a)] - 1
-    return [pa.array(group[a].astype(np.int64)), pa.array(signed(k1[a])), pa.array(signed(k2[a])), pa.array(doc[a]), pa.array(doc[b])]
+    passed = np.zeros(len(a), np.int64) if total is None else total[order][a]
+    return [pa.array(x) for x in (group[a].astype(np.int64), signed(k1[a]), signed(k2[a]), doc[a], doc[b], b - a + 1, passed)]
 
 
-_NAMES = ["g", "k1", "k2", "lo", "hi"]
-_SENT = "g bigint, k1 bigint, k2 bigint, lo bigint, hi bigint"
+_NAMES = ["g", "k1", "k2", "lo", "hi", "n", "total"]
+_SENT = "g bigint, k1 bigint, k2 bigint, lo bigint, hi bigint, n bigint, total bigint"
 
 
 def _cat(parts: list[np.ndarray], kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def _found(answers: tuple[np.ndarray, np.ndarray, np.ndarray], k1: np.ndarray, k2: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """(hit, owner) of keys in sorted answers. Keys of two parts are compared in both parts."""
-    a1, a2, owner = answers
+def _found(answers: tuple[np.ndarray, ...], k1: np.ndarray, k2: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hit, owner, times) of keys in answers. Keys of two parts are compared in both parts."""
+    a1, a2, owner, times = answers
     if not len(a1) or not len(k1):
-        return np.zeros(len(k1), bool), np.zeros(len(k1), np.int64)
+        return np.zeros(len(k1), bool), np.zeros(len(k1), np.int64), np.zeros(len(k1), np.int64)
     key, known = (k1, a1) if k2 is None else (_one(k1, k2), _one(a1, a2))
     order = np.argsort(known, kind="stable")
     i = np.minimum(np.searchsorted(known[order], key), len(known) - 1)
@@ -228,7 +229,7 @@ def _found(answers: tuple[np.ndarray, np.ndarray, np.ndarray], k1: np.ndarray, k
     hit = a1[i] == k1
     if k2 is not None:
         hit &= a2[i] == k2
-    return hit, np.where(hit, owner[i], 0)
+    return hit, np.where(hit, owner[i], 0), np.where(hit, times[i], 0)
 
 
 def _one(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
@@ -236,9 +237,9 @@ def _one(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
     return mix(k1 * U(0x9E3779B97F4A7C15) + k2)
 
 
-def _answers(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _answers(table: pa.Table, kind: int) -> tuple[np.ndarray, ...]:
     here = table.column("kind").to_numpy() == kind
-    return tuple(table.column(c).to_numpy()[here].view(t) for c, t in (("k1", U), ("k2", U), ("owner", np.int64)))
+    return tuple(table.column(c).to_numpy()[here].view(t) for c, t in (("k1", U), ("k2", U), ("owner", np.int64), ("times", np.int64)))
 
 
 def _windows_of(an: Anchors, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -280,26 +281,25 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             row, k1 = row[real[row]], k1[real[row]]
             yield pa.RecordBatch.from_arrays(_keys(g[row], k1, np.zeros(len(k1), U), ids[row]), names=_NAMES)
 
-    def shared(sent: DataFrame, kind: int, *, only_shared: bool = True) -> DataFrame:
-        """What the groups get back: of each key that they sent, the smallest document; by default only if another has it too."""
+    def answers(sent: DataFrame, kind: int, wanted: str = "owner < most") -> DataFrame:
+        """What the groups get back of the keys that they sent: the smallest document, and how often a key occurs in all."""
         w = Window.partitionBy("k1", "k2")
-        back = sent.withColumns({"owner": F.min("lo").over(w), "most": F.max("hi").over(w)})
-        if only_shared:
-            back = back.filter("owner < most")
-        return back.select(F.col("g").alias("_g"), F.lit(kind).alias("kind"), "k1", "k2", "owner")
+        back = sent.withColumns({"owner": F.min("lo").over(w), "most": F.max("hi").over(w), "times": F.sum("n").over(w)})
+        return back.filter(wanted).select(F.col("g").alias("_g"), F.lit(kind).alias("kind"), "k1", "k2", "owner", "times")
 
     def blocks(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, real = ids_of(left)
         known = _answers(right, 1)
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], []]
         for a, w, h in _by_chunk(left.column("_text")) if right.num_rows else []:
             an = anchors(h, w.bounds, size)
-            hit = _found(known, an.symbol, None)[0] & real[an.row + a]
-            for column, value in zip(out, (an.row[hit] + a, an.symbol[hit], an.block[hit])):
+            hit, _, total = _found(known, an.symbol, None)
+            hit &= real[an.row + a]
+            for column, value in zip(out, (an.row[hit] + a, an.symbol[hit], an.block[hit], total[hit])):
                 column.append(value)
         row = _cat(out[0], np.int64)
         g = left.column("_g").to_numpy()[:1] if left.num_rows else np.zeros(1, np.int64)
-        return pa.table(_keys(np.repeat(g, len(row)), _cat(out[1], U), _cat(out[2], U), ids[row]), names=_NAMES)
+        return pa.table(_keys(np.repeat(g, len(row)), _cat(out[1], U), _cat(out[2], U), ids[row], _cat(out[3], np.int64)), names=_NAMES)
 
     def ends(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, real = ids_of(left)
@@ -307,7 +307,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         out: list[list[np.ndarray]] = [[], [], []]
         for a, w, h in _by_chunk(left.column("_text")) if right.num_rows else []:
             an = anchors(h, w.bounds, size)
-            hit, owner = _found(known, an.symbol, an.block)
+            hit, owner, _ = _found(known, an.symbol, an.block)
             own = np.flatnonzero(hit & (owner == ids[an.row + a]) & real[an.row + a])
             at, row = _windows_of(an, own)
             one, two = windows(h, w.bounds, size, seed=1)[0], windows(h, w.bounds, size, seed=2)[0]
@@ -326,14 +326,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             if right.num_rows:
                 an = anchors(h, w.bounds, size)
                 doc = ids[an.row + a]
-                hit, owner = _found(whole, an.symbol, an.block)
+                hit, owner, _ = _found(whole, an.symbol, an.block)
                 full = hit & (owner < doc) & real[an.row + a]
                 np.add.at(gone, an.first[full], 1)
                 np.add.at(gone, an.last[full] + size, -1)
                 if len(single[0]):
                     at, row = _windows_of(an, np.flatnonzero(~full & real[an.row + a]))
                     one, two = windows(h, w.bounds, size, seed=1)[0], windows(h, w.bounds, size, seed=2)[0]
-                    hit, owner = _found(single, one[at], two[at])
+                    hit, owner, _ = _found(single, one[at], two[at])
                     at = at[hit & (owner < ids[row + a])]
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + size, -1)
@@ -350,9 +350,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return pa.table([left.column("_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "n_words", "n_removed", "kept_text"])
 
     texts = dealt.groupBy("_g")
-    a = shared(dealt.mapInArrow(symbols, _SENT), 1)
+    a = answers(dealt.mapInArrow(symbols, _SENT), 1)
     stretches = texts.cogroup(a.groupBy("_g")).applyInArrow(blocks, _SENT)
-    b = shared(stretches, 2, only_shared=False)
-    c = shared(texts.cogroup(b.groupBy("_g")).applyInArrow(ends, _SENT), 3)
-    result = texts.cogroup(shared(stretches, 2).union(c).groupBy("_g")).applyInArrow(cut, "id bigint, n_words bigint, n_removed bigint, kept_text string")
+    # where all occurrences of a symbol have one stretch, no window needs to be looked at alone
+    c = answers(texts.cogroup(answers(stretches, 2, "times < total").groupBy("_g")).applyInArrow(ends, _SENT), 3)
+    result = texts.cogroup(answers(stretches, 2).union(c).groupBy("_g")).applyInArrow(cut, "id bigint, n_words bigint, n_removed bigint, kept_text string")
     return result.select(F.col("id").cast(id_type).alias(id_col), "n_words", "n_removed", "kept_text")
