@@ -281,8 +281,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             row, k1 = row[real[row]], k1[real[row]]
             yield pa.RecordBatch.from_arrays(_keys(g[row], k1, np.zeros(len(k1), U), ids[row]), names=_NAMES)
 
-    def answers(sent: DataFrame, kind: int, wanted: str = "owner < most") -> DataFrame:
-        """What the groups get back of the keys that they sent: the smallest document, and how often a key occurs in all."""
+    def answers(sent: DataFrame, kind: int, wanted: str = "owner < most and times >= 0") -> DataFrame:
+        """What the groups get back of the keys that they sent: the smallest document, and how often a key occurs in all.
+
+        Both filters over the stretches read all columns, so that their rows are sent once and not once for each.
+        """
         w = Window.partitionBy("k1", "k2")
         back = sent.withColumns({"owner": F.min("lo").over(w), "most": F.max("hi").over(w), "times": F.sum("n").over(w)})
         return back.filter(wanted).select(F.col("g").alias("_g"), F.lit(kind).alias("kind"), "k1", "k2", "owner", "times")
@@ -353,6 +356,6 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     a = answers(dealt.mapInArrow(symbols, _SENT), 1)
     stretches = texts.cogroup(a.groupBy("_g")).applyInArrow(blocks, _SENT)
     # where all occurrences of a symbol have one stretch, no window needs to be looked at alone
-    c = answers(texts.cogroup(answers(stretches, 2, "times < total").groupBy("_g")).applyInArrow(ends, _SENT), 3)
-    result = texts.cogroup(answers(stretches, 2).union(c).groupBy("_g")).applyInArrow(cut, "id bigint, n_words bigint, n_removed bigint, kept_text string")
+    c = answers(texts.cogroup(answers(stretches, 2, "times < total and owner <= most").groupBy("_g")).applyInArrow(ends, _SENT), 3)
+    result = texts.cogroup(answers(stretches, 2, "owner < most and times <= total").union(c).groupBy("_g")).applyInArrow(cut, "id bigint, n_words bigint, n_removed bigint, kept_text string")
     return result.select(F.col("id").cast(id_type).alias(id_col), "n_words", "n_removed", "kept_text")
