@@ -40,6 +40,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def arrow_rows(spark: SparkSession, rows: int) -> None:
+    """Bound the rows of the Arrow batches of plans made from now on: what a Python worker holds at once.
+
+    Operators that look at each row alone take small batches; those that combine rows within a batch take larger ones.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

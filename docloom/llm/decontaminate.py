@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, Words, chunks, mix, odd_keys, text_buffers
+from .common import arrow_rows, U, Words, chunks, mix, odd_keys, text_buffers
 from .toxicity import _EDGE
 
 #: Positions that a seed looks at. The last mask is for items too short for the others.
@@ -143,6 +143,7 @@ def find_overlaps(docs: DataFrame, tests: DataFrame, *, id_col: str = "doc_id",
     """
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), tests.schema[item_col].dataType
     item_arrow = pa.int64() if item_type.simpleString() in ("bigint", "int", "smallint", "tinyint") else pa.string()
+    arrow_rows(docs.sparkSession, 1000)
     spark, frame = docs.sparkSession, docs.select(id_col, text_col)
     item_name = "bigint" if item_arrow == pa.int64() else "string"
     schema = f"`{id_col}` {id_type}, `{item_col}` {item_name}, doc_start bigint, item_start bigint, n_words bigint, n_equal bigint, item_words bigint"
@@ -172,6 +173,7 @@ def best_overlaps(docs: DataFrame, tests: DataFrame, *, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, tests: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of docs that overlap with no test item, with all their columns; null and empty texts stay. No shuffle."""
+    arrow_rows(docs.sparkSession, 1000)
     spark, names = docs.sparkSession, docs.columns
     at = names.index(text_col)
     for t in _blocks(tests, item_col, item_text_col):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, Words, chunks, materialize, parallelism, signed, text_buffers, windows
+from .common import arrow_rows, U, Words, chunks, materialize, parallelism, signed, text_buffers, windows
 from .components import components
 
 #: Share of the shingles in fragment 0, beyond what a prefix holds (15 % of a set at similarity 0.85).
@@ -139,7 +139,8 @@ def candidate_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int, perce
 
     found = dealt.groupBy("_g").cogroup(frequent.groupBy("_g")).applyInArrow(prefixes, "token bigint, sid binary, g bigint")
     once = found.groupBy("token", "sid").agg(F.min("g").alias("g"))
-    shared = once.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).filter("x <> y").select("token")
+    # reads g too, so that the rows of `once` are made and sent once for both uses
+    shared = once.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y"), F.min("g").alias("z")).filter("x <> y and z >= 0").select("token")
     wanted = once.join(shared, "token", "left_semi").select(F.col("g").alias("_g"), "token", "sid")
 
     def sets(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -276,6 +277,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     sets link. A null id is never the smallest: the component of rows without any id is null. Rows that repeat an id
     are documents of their own with one name. Other columns are not read; an empty table gives an empty result.
     """
+    arrow_rows(docs.sparkSession, 10_000)
     sets = materialize(candidate_sets(docs, id_col=id_col, text_col=text_col, n=n, percent=percent), "sets")
     named = components(materialize(similarity_links(sets, percent), "similar"))
     rows = materialize(document_sets(docs, id_col=id_col, text_col=text_col, n=n), "rows")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, mix
+from .common import arrow_rows, U, mix
 from .sampling import bounded_sample, split_of
 
 ORDER = 4
@@ -181,6 +181,7 @@ def predict(docs: DataFrame, models: Models, *, id_col: str = "doc_id", text_col
     fits; without, it keeps the nearest language and `fits` is false. Ties go to the language that sorts first. If no
     language was learned, all rows are `und`. Rows that repeat an id give a row each. Only the text is looked at.
     """
+    arrow_rows(docs.sparkSession, 1000)
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(models))
     id_type = docs.schema[id_col].dataType.simpleString()
 

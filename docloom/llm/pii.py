@@ -17,6 +17,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import arrow_rows
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("iban", "secret", "url")
 
@@ -121,6 +123,7 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     give a row each; an empty table gives an empty result.
     """
     item = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    arrow_rows(docs.sparkSession, 1000)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +154,7 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def pii_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: counts of the base kinds, a digest of the base spans, and all spans as one string (see `find_pii`)."""
+    arrow_rows(docs.sparkSession, 1000)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

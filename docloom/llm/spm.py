@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import AddedToken, Tokenizer, decoders, models, normalizers
 
-from .common import Words, chunks, text_buffers
+from .common import arrow_rows, Words, chunks, text_buffers
 
 MARK = "▁"
 # Fixed values of the model format: kinds of models and of pieces.
@@ -288,6 +288,7 @@ def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col
     """
     with open(model_path, "rb") as f:
         data = f.read()
+    arrow_rows(docs.sparkSession, 1000)
     sent = docs.sparkSession.sparkContext.broadcast(data)
     id_type = docs.schema[id_col].dataType.simpleString()
 

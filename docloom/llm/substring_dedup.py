@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, Words, chunks, mix, odd_keys, parallelism, signed, text_buffers, windows
+from .common import arrow_rows, U, Words, chunks, mix, odd_keys, parallelism, signed, text_buffers, windows
 
 #: Rounds of recompression. More make longer symbols, but in a window of 13 words their neighbourhoods leave fewer to pick from.
 ROUNDS = 1
@@ -257,6 +257,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     a row with a null id loses nothing and takes nothing from others; rows that repeat an id take nothing from each
     other. Other columns are not read; an empty table gives an empty result.
     """
+    arrow_rows(docs.sparkSession, 10_000)
     spark = docs.sparkSession
     parts = parallelism(spark)
     groups = max(16 * parts, docs.count() // 256, 1)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Words, chunks, mix, text_buffers
+from .common import arrow_rows, U, Words, chunks, mix, text_buffers
 from .sampling import bounded_sample, split_of
 
 GRADES = 4
@@ -179,6 +179,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     unless all training texts were. Rows that repeat an id give a row each. With `keep`, the columns of docs stand
     before these (a column of docs with one of these names is replaced).
     """
+    arrow_rows(docs.sparkSession, 1000)
     names = ["severity", "grade", "p_toxic", "toxic"]
     own = [f.name for f in docs.schema.fields if f.name not in names] if keep else [id_col]
     frame = docs.select(*(F.col(f"`{c}`") for c in own), F.col(text_col).alias("_scored"))
@@ -200,6 +201,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
     """The rows of docs that the model does not call toxic, with all their columns; see `predict`. No shuffle."""
+    arrow_rows(docs.sparkSession, 1000)
     sent, at = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model)), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, parallelism, shared_dir
+from .common import arrow_rows, materialize, parallelism, shared_dir
 
 STRETCH = 8 << 20
 #: Ranges with at most this many unwanted bytes between them are read at once.
@@ -84,6 +84,7 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
     never referred to; if all ids of a group are null, all are responses. Columns other than the three are not read;
     an empty table gives an empty index.
     """
+    arrow_rows(pages.sparkSession, 1000)
     spark = pages.sparkSession
     id_type = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.coalesce(F.col(payload_col), F.lit("")).alias("_p"))
