@@ -1,0 +1 @@
+"""Document queries on Spark: typed JSON filters, relationships, joins, versions and writes over collections."""

@@ -1,0 +1 @@
+"""Filters, sorting, joins, draft views and writes as DataFrame plans."""

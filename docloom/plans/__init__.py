@@ -1,0 +1 @@
+"""Plan-time descriptions: schemas and the errors that queries and writes raise."""
