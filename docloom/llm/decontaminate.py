@@ -7,7 +7,7 @@ words along that diagonal are compared: the stretch with the best score (+1 for
 overlap if it has at least `MIN_WORDS` words (or is the whole of a shorter item, word for word).
 
 The masks find every stretch of 13 words with up to three substituted words (a test tries all of them), so no overlap
-with three quarters of its words equal is missed. Test items are handled in blocks of a fixed size, which is what is
+is missed. Test items are handled in blocks of a fixed size, which is what is
 broadcast; more items make more blocks.
 """
 
@@ -31,7 +31,8 @@ from .toxicity import _EDGE
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 6, 8, 9), (0, 1, 3, 4, 5), (0, 1, 2, 3, 4))
 MIN_WORDS = 13
 LEAST_WORDS = 5
-MISMATCH = 3
+#: Equal words in a window of MIN_WORDS: up to three may be substituted.
+LEAST_EQUAL = MIN_WORDS - 3
 #: Bytes of test text in one block.
 BLOCK_BYTES = 16 << 20
 _BITS = 20
@@ -99,18 +100,18 @@ def overlaps(raw: np.ndarray, offsets: np.ndarray, t: Tests) -> list[tuple[int,
         a, b = w.bounds[row], t.bounds[item]
         size = int(t.bounds[item + 1] - b)
         begin, end = max(0, -d), min(size, int(w.bounds[row + 1] - a) - d)
-        same = (h[a + d + begin:a + d + end] == t.words[b + begin:b + end]).tolist()
-        best = score = start = 0
-        span = (0, 0)
-        for k, x in enumerate(same):
-            if score <= 0:
-                score, start = 0, k
-            score += 1 if x else -MISMATCH
-            if score > best:
-                best, span = score, (start, k + 1)
-        n, equal = span[1] - span[0], sum(same[span[0]:span[1]])
-        if n >= MIN_WORDS or (n == size == equal and size >= LEAST_WORDS):
-            out.append((row, item, d + begin + span[0], begin + span[0], n, equal))
+        same = h[a + d + begin:a + d + end] == t.words[b + begin:b + end]
+        if size < MIN_WORDS:
+            if size >= LEAST_WORDS and len(same) == size and same.all():
+                out.append((row, item, d, 0, size, size))
+            continue
+        total = np.concatenate([[0], np.cumsum(same)])
+        good = np.flatnonzero(total[MIN_WORDS:] - total[:-MIN_WORDS] >= LEAST_EQUAL) if len(same) >= MIN_WORDS else np.zeros(0, int)
+        if len(good):
+            cuts = np.flatnonzero(np.diff(good) > MIN_WORDS)
+            spans = [(int(x), int(y) + MIN_WORDS) for x, y in zip(good[np.concatenate([[0], cuts + 1])], good[np.concatenate([cuts, [len(good) - 1]])])]
+            first, last = max(spans, key=lambda x: (total[x[1]] - total[x[0]], -x[0]))
+            out.append((row, item, d + begin + first, begin + first, last - first, int(total[last] - total[first])))
     return out
 
 

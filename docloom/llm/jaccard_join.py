@@ -277,7 +277,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     sets link. A null id is never the smallest: the component of rows without any id is null. Rows that repeat an id
     are documents of their own with one name. Other columns are not read; an empty table gives an empty result.
     """
-    arrow_rows(docs.sparkSession, 10_000)
+    arrow_rows(docs.sparkSession, 2000)
     sets = materialize(candidate_sets(docs, id_col=id_col, text_col=text_col, n=n, percent=percent), "sets")
     named = components(materialize(similarity_links(sets, percent), "similar"))
     rows = materialize(document_sets(docs, id_col=id_col, text_col=text_col, n=n), "rows")

@@ -24,7 +24,7 @@ MORE_KINDS = ("iban", "secret", "url")
 
 # Cues of schemes and identifiers.
 SCHEMES = ("http://", "https://", "ftp://", "sftp://", "ssh://", "mailto:")
-SECRET_CUES = ("AKIA", "ghp_", "sk-", "xoxb-", "eyJ", "-----BEGIN ")
+SECRET_CUES = ("AKIA", "ghp_", "sk-", "xoxb-", "eyJ", "-----BEGIN ", "password", "passwd", "secret", "token", "api_key")
 IBAN_CUES = ("IBAN", "iban")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -34,7 +34,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _URL = re.compile(r"[^\x00-\x20\"'<>\\^`{|}\x7f]+")
-_SECRET = re.compile(r"AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|xoxb-[A-Za-z0-9-]{20,}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|-----BEGIN [A-Z ]*PRIVATE KEY-----")
+_SECRET = re.compile(r"(?:password|passwd|secret|token|api_key)\x20?[=:]\x20?[\"']?[A-Za-z0-9_/+.-]{8,}|AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|xoxb-[A-Za-z0-9-]{20,}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|-----BEGIN [A-Z ]*PRIVATE KEY-----")
 _IBAN = re.compile(r"[\x20:]{1,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
 _ANCHOR = {"@": 1, "+": 2} | {d: 3 for d in "0123456789"} | {s: 4 for s in SCHEMES} | {s: 5 for s in SECRET_CUES} | {s: 6 for s in IBAN_CUES}
 

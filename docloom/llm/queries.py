@@ -80,6 +80,25 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+        w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos, ws FROM d),
+        g AS (SELECT doc_id, pos, word, CASE WHEN pos + 12 <= len(ws) THEN array_to_string(ws[pos:pos + 12], ' ') END AS gram FROM w),
+        o AS (SELECT doc_id, pos, word, gram IS NOT NULL AND min(doc_id) OVER (PARTITION BY gram) < doc_id AS hit FROM g),
+        c AS (SELECT doc_id, pos, word, max(hit::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) = 1 AS gone FROM o),
+        a AS (SELECT doc_id, count(*) AS n_words, sum(gone::INT)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (doc_id)""",
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, gram FROM (
+            SELECT doc_id, array_to_string(ws[p:p + 3], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 2)) AS p FROM d WHERE len(ws) >= 4)
+            UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 3)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+        f AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT f.b, r.c FROM r JOIN f ON f.a = r.doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, min(c) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id, n""",
     "op3_warc": r"""
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, url, octet_length(encode(h)) AS payload_bytes, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS best FROM p)

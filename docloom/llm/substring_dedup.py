@@ -257,7 +257,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     a row with a null id loses nothing and takes nothing from others; rows that repeat an id take nothing from each
     other. Other columns are not read; an empty table gives an empty result.
     """
-    arrow_rows(docs.sparkSession, 10_000)
+    arrow_rows(docs.sparkSession, 2000)
     spark = docs.sparkSession
     parts = parallelism(spark)
     groups = max(16 * parts, docs.count() // 256, 1)
