@@ -30,9 +30,11 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Words kept for later batches of the same worker; beyond it the cache starts anew, which changes no result.
-CACHE = 2_000_000
+CACHE = 250_000
 #: Bytes of text that are encoded at once.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
+#: Segments handed to the library at once.
+SEGMENTS = 20_000
 
 
 # ------------------------------------------------------------------ the model file
@@ -108,17 +110,17 @@ def merges(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
     return [(p[:k], p[k:]) for p in (pieces[i][0] for i in order) for k in range(1, len(p)) if p[:k] in vocab and p[k:] in vocab]
 
 
-def build(m: Model, *, strip: bool = True) -> Tokenizer:
+def build(m: Model) -> Tokenizer:
     """A tokenizer of the library for texts whose spaces are marks already and that have their dummy prefix."""
     if m.kind == BPE:
         vocab = {p: i for i, (p, _, _) in enumerate(m.pieces)}
-        core = models.BPE(vocab=vocab, merges=merges(m.pieces), unk_token=next((p for p, _, k in m.pieces if k == UNKNOWN), None), fuse_unk=True, byte_fallback=m.byte_fallback)
+        core = models.BPE(vocab=vocab, merges=merges(m.pieces), unk_token=next((p for p, _, k in m.pieces if k == UNKNOWN), None), fuse_unk=True, byte_fallback=m.byte_fallback, cache_capacity=0)
     else:
         unk = next((i for i, x in enumerate(m.pieces) if x[2] == UNKNOWN), None)
         core = models.Unigram([(p, s) for p, s, _ in m.pieces], unk_id=unk, byte_fallback=m.byte_fallback)
     t = Tokenizer(core)
     steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-    t.decoder = decoders.Sequence(steps + [decoders.Strip(" ", 1, 0)] * (m.dummy_prefix and strip))
+    t.decoder = decoders.Sequence(steps)
     user = [AddedToken(p, normalized=False, special=False) for p, _, k in m.pieces if k == USER]
     if user:
         t.add_tokens(user)
@@ -133,8 +135,6 @@ class Processor:
         os.environ.setdefault("RAYON_NUM_THREADS", str(max(2, int(os.environ.get("OMP_NUM_THREADS") or 2))))
         self.model = parse_model(data)
         self.tokenizer = build(self.model)
-        #: the same without the removal of the dummy prefix, for segments
-        self.inner = build(self.model, strip=False)
         self.precompiled = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
         kinds = {k for _, _, k in self.model.pieces}
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p, _, k in self.model.pieces if k in (NORMAL, USER))
@@ -177,10 +177,14 @@ class Processor:
 
     def _encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, sizes, whole) of segments, by the library's threads; whole: decoding the ids gives the segment back."""
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-        return flat, sizes, np.fromiter(map(eq, self._surface(ids), segments), bool, len(segments))
+        flat, sizes, whole = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        for at in range(0, len(segments), SEGMENTS):
+            some = segments[at:at + SEGMENTS]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1].sum())))
+            whole.append(np.fromiter(map(eq, self._surface(ids), some), bool, len(some)))
+        return np.concatenate(flat), np.concatenate(sizes), np.concatenate(whole)
 
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, sizes, whole) of any texts: normalised, cut into segments, each distinct segment encoded once.
@@ -246,11 +250,12 @@ class Processor:
 
     def _surface(self, ids: list[list[int]]) -> list[str]:
         """What the library decodes for the ids of whole segments, with marks."""
-        return [x.replace(" ", MARK) if self.model.escape else x for x in self.inner.decode_batch(ids, skip_special_tokens=False)]
+        return [x.replace(" ", MARK) if self.model.escape else x for x in self.tokenizer.decode_batch(ids, skip_special_tokens=False)]
 
-    def decode_batch(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
-        whole = ids.tolist()
-        return self.tokenizer.decode_batch([whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], skip_special_tokens=False)
+    def decode_batch(self, ids: list[list[int]]) -> list[str]:
+        """The texts that lists of ids stand for, without the dummy prefix."""
+        texts = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return [t.removeprefix(" ") for t in texts] if self.model.dummy_prefix else texts
 
 
 # ------------------------------------------------------------------ on DataFrames
@@ -314,7 +319,7 @@ def decode(tokens: DataFrame, model_path: str, *, id_col: str = "doc_id", ids_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = _processor(sent.value)
         for batch in batches:
-            texts = p.tokenizer.decode_batch([x or [] for x in batch.column(1).to_pylist()], skip_special_tokens=False)
+            texts = p.decode_batch([x or [] for x in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
     return tokens.select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {id_type}, text string")
