@@ -131,8 +131,10 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: f
 def fit(sample: list[tuple[str, str]]) -> Models:
     """Models from (language, text) pairs: four fifths of the texts are counted, the others calibrate."""
     languages = sorted({lang for lang, _ in sample})
-    counted = [x for x in sample if split_of(x[1])] or sample
-    other = [x for x in sample if not split_of(x[1])] or sample
+    # a language with few texts has all of them counted, and calibrates with them too
+    few = {lang for lang in languages if sum(x[0] == lang for x in sample) < 20}
+    counted = [x for x in sample if x[0] in few or split_of(x[1])]
+    other = [x for x in sample if x[0] in few or not split_of(x[1])] or sample
     seen = np.zeros(0x110000, np.int64)
     for _, text in counted:
         c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
