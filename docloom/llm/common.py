@@ -6,8 +6,9 @@ hashes them eight bytes at a time, so no Python string is made for a word.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 U = np.uint64
 #: Bytes of text that the kernel handles at once; a longer text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 
 # ------------------------------------------------------------------ shared folder
@@ -48,6 +49,43 @@ def arrow_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def trim() -> None:
+    """Give memory that a finished task has freed back to the system: idle Python workers live on for a while."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """A function over batches that trims the worker's memory when a task ends."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+    return whole
+
+
+def lean_groups(f: Callable, every: int = 16) -> Callable:
+    """A function over groups that trims the worker's memory now and then."""
+    calls = [0]
+
+    def count() -> None:
+        calls[0] += 1
+        if calls[0] % every == 0:
+            trim()
+
+    # Spark looks at the number of parameters
+    def one(table: pa.Table) -> pa.Table:
+        count()
+        return f(table)
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        count()
+        return f(left, right)
+    return one if f.__code__.co_argcount == 1 else two
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

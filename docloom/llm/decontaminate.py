@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, U, Words, chunks, mix, odd_keys, text_buffers
+from .common import U, Words, arrow_rows, chunks, lean, mix, odd_keys, text_buffers
 from .toxicity import _EDGE
 
 #: Positions that a seed looks at. The last mask is for items too short for the others.
@@ -162,7 +162,7 @@ def find_overlaps(docs: DataFrame, tests: DataFrame, *, id_col: str = "doc_id",
                                                      names=[id_col, item_col, "doc_start", "item_start", "n_words", "n_equal", "item_words"])
         return run
 
-    parts = [frame.mapInArrow(run_with(spark.sparkContext.broadcast(pickle.dumps(t))), schema) for t in _blocks(tests, item_col, item_text_col)]
+    parts = [frame.mapInArrow(lean(run_with(spark.sparkContext.broadcast(pickle.dumps(t)))), schema) for t in _blocks(tests, item_col, item_text_col)]
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
 
 
@@ -184,5 +184,5 @@ def drop_contaminated(docs: DataFrame, tests: DataFrame, *, text_col: str = "tex
                 keep = np.ones(batch.num_rows, bool)
                 keep[[x[0] for x in _scan(batch.column(at), block)]] = False
                 yield batch.filter(pa.array(keep))
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, U, Words, chunks, materialize, parallelism, signed, text_buffers, windows
+from .common import U, Words, arrow_rows, chunks, lean, lean_groups, materialize, parallelism, signed, text_buffers, windows
 from .components import components
 
 #: Share of the shingles in fragment 0, beyond what a prefix holds (15 % of a set at similarity 0.85).
@@ -118,7 +118,7 @@ def candidate_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int, perce
             times = np.diff(np.concatenate([first, [len(token)]]))
             yield pa.RecordBatch.from_arrays([pa.array(signed(token[first])), pa.array(group[first]), pa.array(times.astype(np.int32))], names=["token", "g", "n"])
 
-    rows = dealt.mapInArrow(emit, "token bigint, g bigint, n int")
+    rows = dealt.mapInArrow(lean(emit), "token bigint, g bigint, n int")
     frequent = rows.withColumn("df", F.sum("n").over(Window.partitionBy("token"))).filter("df >= 2").select(F.col("g").alias("_g"), "token", "df")
 
     def prefixes(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -137,7 +137,7 @@ def candidate_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int, perce
         flat = np.concatenate(tokens) if tokens else np.zeros(0, U)
         return pa.table({"token": pa.array(signed(flat)), "sid": pa.array(ids, pa.binary()), "g": pa.array(np.full(len(flat), g, np.int64))})
 
-    found = dealt.groupBy("_g").cogroup(frequent.groupBy("_g")).applyInArrow(prefixes, "token bigint, sid binary, g bigint")
+    found = dealt.groupBy("_g").cogroup(frequent.groupBy("_g")).applyInArrow(lean_groups(prefixes), "token bigint, sid binary, g bigint")
     once = found.groupBy("token", "sid").agg(F.min("g").alias("g"))
     # reads g too, so that the rows of `once` are made and sent once for both uses
     shared = once.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y"), F.min("g").alias("z")).filter("x <> y and z >= 0").select("token")
@@ -154,7 +154,7 @@ def candidate_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int, perce
                     column.append(value)
         return pa.table({"sid": pa.array(out[0], pa.binary()), "n": pa.array(out[1], pa.int64()), "tokens": pa.array(out[2], pa.list_(pa.int64())), "grams": pa.array(out[3], pa.binary())})
 
-    return dealt.groupBy("_g").cogroup(wanted.groupBy("_g")).applyInArrow(sets, "sid binary, n bigint, tokens array<bigint>, grams binary")
+    return dealt.groupBy("_g").cogroup(wanted.groupBy("_g")).applyInArrow(lean_groups(sets), "sid binary, n bigint, tokens array<bigint>, grams binary")
 
 
 def _added(code: np.ndarray, like: np.ndarray) -> np.ndarray:
@@ -254,7 +254,7 @@ def similarity_links(sets: DataFrame, percent: int) -> DataFrame:
             links = unit_links([grams[x] for x in order[:k]], [grams[x] for x in order[k:]] if i != j else None, percent)
         return pa.table({"a": pa.array([ids[order[x]] for x, _ in links], pa.binary()), "b": pa.array([ids[order[y]] for _, y in links], pa.binary())})
 
-    return dealt.groupBy("cell", "i", "j").applyInArrow(count, "a binary, b binary")
+    return dealt.groupBy("cell", "i", "j").applyInArrow(lean_groups(count), "a binary, b binary")
 
 
 def document_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int) -> DataFrame:
@@ -266,7 +266,7 @@ def document_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int) -> Dat
             sets = sets_of(batch.column(1), n)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else None for s in sets], pa.binary())], names=[id_col, "n_shingles", "sid"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, n_shingles bigint, sid binary")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, n_shingles bigint, sid binary")
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, U, mix
+from .common import U, arrow_rows, lean, mix
 from .sampling import bounded_sample, split_of
 
 ORDER = 4
@@ -211,7 +211,7 @@ def predict(docs: DataFrame, models: Models, *, id_col: str = "doc_id", text_col
                 at = to
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(fits, pa.bool_())], names=[id_col, "lang_pred", "score", "fits"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, lang_pred string, score double, fits boolean")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, lang_pred string, score double, fits boolean")
 
 
 def held_out(column):

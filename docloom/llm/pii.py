@@ -17,7 +17,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import arrow_rows
+from .common import arrow_rows, lean
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("iban", "secret", "url")
@@ -137,7 +137,7 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
                 pa.array([masked(t, x) for t, x in zip(texts, spans)], pa.string()),
             ], names=[id_col, "spans", "masked"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, spans array<struct<kind:string,start:bigint,end:bigint>>, masked string")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, spans array<struct<kind:string,start:bigint,end:bigint>>, masked string")
 
 
 def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -171,4 +171,4 @@ def pii_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string())],
                                              names=[id_col, *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")

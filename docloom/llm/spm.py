@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import AddedToken, Tokenizer, decoders, models, normalizers
 
-from .common import arrow_rows, Words, chunks, text_buffers
+from .common import Words, arrow_rows, chunks, lean, text_buffers
 
 MARK = "▁"
 # Fixed values of the model format: kinds of models and of pieces.
@@ -306,7 +306,7 @@ def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)), pa.array(same)],
                                                  names=[id_col, "n_tokens", "token_ids", "round_trip"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens bigint, token_ids array<int>, round_trip boolean")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, n_tokens bigint, token_ids array<int>, round_trip boolean")
 
 
 def decode(tokens: DataFrame, model_path: str, *, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
@@ -322,4 +322,4 @@ def decode(tokens: DataFrame, model_path: str, *, id_col: str = "doc_id", ids_co
             texts = p.decode_batch([x or [] for x in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
-    return tokens.select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {id_type}, text string")
+    return tokens.select(id_col, ids_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, text string")

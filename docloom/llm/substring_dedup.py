@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, U, Words, chunks, mix, odd_keys, parallelism, signed, text_buffers, windows
+from .common import U, Words, arrow_rows, chunks, lean, lean_groups, mix, odd_keys, parallelism, signed, text_buffers, windows
 
 #: Rounds of recompression. More make longer symbols, but in a window of 13 words their neighbourhoods leave fewer to pick from.
 ROUNDS = 1
@@ -354,9 +354,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return pa.table([left.column("_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "n_words", "n_removed", "kept_text"])
 
     texts = dealt.groupBy("_g")
-    a = answers(dealt.mapInArrow(symbols, _SENT), 1)
-    stretches = texts.cogroup(a.groupBy("_g")).applyInArrow(blocks, _SENT)
+    a = answers(dealt.mapInArrow(lean(symbols), _SENT), 1)
+    stretches = texts.cogroup(a.groupBy("_g")).applyInArrow(lean_groups(blocks), _SENT)
     # where all occurrences of a symbol have one stretch, no window needs to be looked at alone
-    c = answers(texts.cogroup(answers(stretches, 2, "times < total and owner <= most").groupBy("_g")).applyInArrow(ends, _SENT), 3)
-    result = texts.cogroup(answers(stretches, 2, "owner < most and times <= total").union(c).groupBy("_g")).applyInArrow(cut, "id bigint, n_words bigint, n_removed bigint, kept_text string")
+    c = answers(texts.cogroup(answers(stretches, 2, "times < total and owner <= most").groupBy("_g")).applyInArrow(lean_groups(ends), _SENT), 3)
+    result = texts.cogroup(answers(stretches, 2, "owner < most and times <= total").union(c).groupBy("_g")).applyInArrow(lean_groups(cut), "id bigint, n_words bigint, n_removed bigint, kept_text string")
     return result.select(F.col("id").cast(id_type).alias(id_col), "n_words", "n_removed", "kept_text")

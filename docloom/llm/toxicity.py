@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, U, Words, chunks, mix, text_buffers
+from .common import U, Words, arrow_rows, chunks, lean, mix, text_buffers, trim
 from .sampling import bounded_sample, split_of
 
 GRADES = 4
@@ -168,8 +168,10 @@ def fit_calibrated(sample: list[tuple[int, str]], share_toxic: float) -> Model:
 def fit_on(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "toxic") -> Model:
     """A model from a bounded sample of the labelled documents; the share of toxic ones is counted over all labels."""
     total, toxic = labels.filter(F.col(label_col).isNotNull()).agg(F.count(F.lit(1)), F.sum(F.col(label_col).cast("int"))).first()
-    sample = bounded_sample(labels, docs, id_col=id_col, label_col=label_col, per_class=3000, class_bytes=10_000_000)
-    return fit_calibrated(sample, (toxic or 0) / max(total, 1))
+    sample = bounded_sample(labels, docs, id_col=id_col, label_col=label_col, per_class=2500, class_bytes=7_000_000)
+    model = fit_calibrated(sample, (toxic or 0) / max(total, 1))
+    trim()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
@@ -196,7 +198,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p @ np.arange(GRADES)), pa.array(p.argmax(1).astype(np.int32)), pa.array(bad), pa.array(bad >= m.threshold)],
                                              names=[*own, *names])
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(lean(run), schema)
 
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
@@ -211,4 +213,4 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> Data
             s = np.concatenate([m.score(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in chunks(offsets)] or [np.zeros(0)])
             yield batch.filter(pa.array(1 - m.grades(s)[:, 0] < m.threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

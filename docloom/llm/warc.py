@@ -21,7 +21,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialize, parallelism, shared_dir
+from .common import arrow_rows, lean, materialize, parallelism, shared_dir
 
 STRETCH = 8 << 20
 #: Ranges with at most this many unwanted bytes between them are read at once.
@@ -119,7 +119,7 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
         if out is not None:
             out.close()
 
-    return materialize(joined.mapInArrow(run, INDEX_SCHEMA.format(id=id_type)), "warc-index")
+    return materialize(joined.mapInArrow(lean(run), INDEX_SCHEMA.format(id=id_type)), "warc-index")
 
 
 def read_warc(index: DataFrame, folder: str, *, with_payload: bool = True) -> DataFrame:
@@ -169,7 +169,7 @@ def read_warc(index: DataFrame, folder: str, *, with_payload: bool = True) -> Da
             file.close()
 
     kind = "bigint" if number else "string"
-    return dealt.mapInArrow(run, f"page_id {kind}, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to {kind}, payload binary").withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
+    return dealt.mapInArrow(lean(run), f"page_id {kind}, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to {kind}, payload binary").withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def warc_round_trip(pages: DataFrame, *, min_bytes: int = 0) -> DataFrame:
