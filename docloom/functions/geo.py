@@ -51,7 +51,7 @@ def near(point: tuple[Column, Column] | None, operand: Any) -> Column:
     if point is None or len(values) < 2 or values[0] is None or values[1] is None:
         return F.lit(False)
     d = distance(*point, (values[0], values[1]))
-    tests = [d.isNotNull()]
+    tests = [point[0].isNotNull() & point[1].isNotNull()]
     if len(values) > 2 and values[2] is not None:
         tests.append(d <= values[2])
     if len(values) > 3 and values[3] is not None:

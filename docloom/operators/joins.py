@@ -66,7 +66,10 @@ def join_rows(parents: DataFrame, parent: Scope, parent_slug: str, field: Field,
         names = [f"_s{k}" for k in range(len(order))]
         keys = [c.alias(n) for (c, _), n in zip(order, names)]
         children = _owned(frame, scope, field.on, parent_slug, [F.col(f"`{scope.id}`").alias("_id"), *keys])
-        if children.schema["_owner"].dataType != id_kind:
+        kind = children.schema["_owner"].dataType
+        if kind != id_kind and isinstance(kind, T.NumericType) and isinstance(id_kind, T.NumericType):
+            children, kind = children.withColumn("_owner", F.col("_owner").cast(id_kind)), id_kind
+        if kind != id_kind:
             children = children.withColumn("_owner", F.col("_owner").cast("string")).join(ids.select(F.col("_parent"), F.col("_parent").cast("string").alias("_text")), F.col("_owner") == F.col("_text")).withColumn("_owner", F.col("_parent")).drop("_parent", "_text")
         else:
             children = children.join(ids, F.col("_owner") == F.col("_parent"), "left_semi")
@@ -126,7 +129,14 @@ def with_join(parents: DataFrame, parent: Scope, parent_slug: str, path: str, fi
     out = out.withColumn("_joined", value)
     head, *rest = path.split(".")
     if rest and head in parents.columns and isinstance(parents.schema[head].dataType, T.StructType):
-        joined = F.col(f"`{head}`").withField(".".join(rest), F.col("_joined"))
+        kind = parents.schema[head].dataType
+        if kind.names:  # an absent group becomes one without values
+            empty = F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields))
+            joined = F.coalesce(F.col(f"`{head}`"), empty.cast(kind)).withField(".".join(rest), F.col("_joined"))
+        else:
+            joined = F.col("_joined")
+            for name in reversed(rest):
+                joined = F.struct(joined.alias(name))
     else:
         joined = F.col("_joined")
         for name in reversed(rest):

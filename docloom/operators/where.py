@@ -339,14 +339,31 @@ def _discrete(f: Field) -> bool:
     return f.type in RELATION_TYPES or (f.type == "select" and f.has_many)
 
 
+def _text_ids(target: Target, path: str, scope: Scope) -> bool:
+    """Whether ids of collections with number ids and with text ids stand as text in one column, so that operands must too."""
+    f = target.field or resolve(scope, path.rpartition(".")[0]).field if "." in path else target.field
+    if f is None or not f.polymorphic:
+        return False
+    kind = target.type["value"].dataType if isinstance(target.type, T.StructType) and "value" in target.type.names else target.type
+    return isinstance(kind, T.StringType)
+
+
 def _clause(path: str, operators: dict, scope: Scope) -> Clause:
     """All operators on one path, their operands cast to the type of its field."""
     target = resolve(scope, path)
     f = target.field
     cast = caster(f, scope.catalog, scope.id_type if path in ("id", scope.id) else None)
 
+    texts = _text_ids(target, path, scope)
+
+    def one(v: Any) -> Any:
+        v = cast(v)
+        if texts and _is_number(v):
+            return number_text(v)
+        return {**v, "value": number_text(v["value"])} if texts and isinstance(v, dict) and _is_number(v.get("value")) else v
+
     def cast_all(v: Any) -> Any:
-        return [cast(x) for x in v] if isinstance(v, (list, tuple)) else cast(v)
+        return [one(x) for x in v] if isinstance(v, (list, tuple)) else one(v)
 
     out: list[Clause] = []
     for operator, operand in operators.items():

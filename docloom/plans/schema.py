@@ -157,7 +157,7 @@ def _inner(f: Field, catalog: Catalog, localized: bool) -> T.DataType:
         return T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("blockType", T.StringType()), *(x for x in body.fields if x.name not in ("id", "blockType"))]))
     if f.type in RELATION_TYPES:
         ids = {catalog.id_type(s) for s in ([f.relation_to] if isinstance(f.relation_to, str) else f.relation_to or ())}
-        leaf: T.DataType = T.DoubleType() if ids == {"number"} else T.StringType()
+        leaf: T.DataType = T.LongType() if ids == {"number"} else T.StringType()
         if f.polymorphic:
             leaf = T.StructType([T.StructField("relationTo", T.StringType()), T.StructField("value", leaf)])
     else:
