@@ -362,7 +362,7 @@ class Engine:
         c = self.catalog.collections[collection]
 
         def attempt(store: Store, n: int, rows: DataFrame) -> int:
-            new = frame.withColumn("_rev", F.lit(1).cast("bigint"))
+            new = store.shaped(frame.withColumn("_rev", F.lit(1).cast("bigint")))
             for path in [(c.id,), *self._unique(collection)]:
                 get = reduce(lambda x, name: x[name], path[1:], F.col(path[0]))
                 key = get.alias("v")

@@ -75,7 +75,7 @@ class Store:
         """Make rows the whole table, if commit n is still the last."""
         n = self.version() if n is None else n
         path = f"{self.path}/base-{uuid.uuid4().hex}"
-        self._shaped(rows).write.parquet(path)
+        self.shaped(rows).write.parquet(path)
         self._commit(n, {"base": path, "deltas": []})
         return n + 1
 
@@ -83,7 +83,7 @@ class Store:
         """Put rows by id and delete ids, if commit n is still the last."""
         parts = []
         if upserts is not None:
-            parts.append(self._shaped(upserts).withColumns({"_gone": F.lit(False), "_seq": F.lit(n + 1).cast("bigint")}))
+            parts.append(self.shaped(upserts).withColumns({"_gone": F.lit(False), "_seq": F.lit(n + 1).cast("bigint")}))
         if deleted is not None:
             kind = self.schema[self.key].dataType
             empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != self.key else F.col(f"`{self.key}`").cast(kind).alias(self.key) for f in self.schema.fields]
@@ -105,7 +105,7 @@ class Store:
         except Conflict:
             pass
 
-    def _shaped(self, rows: DataFrame) -> DataFrame:
+    def shaped(self, rows: DataFrame) -> DataFrame:
         """The store's columns in their types; absent ones are null, unknown ones go."""
         have = set(rows.columns)
         return rows.select(*((F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema.fields))
