@@ -51,14 +51,15 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """The rows of docs that stay, with the columns of docs: exactly one of each group of equal texts.
 
     The same three stages, but the winning row itself is carried along, so the texts are not joined again. The text as
-    it was is carried only where normalising changed it. Of rows with one id, the one with the least hash of all its
-    columns stays; a null id is larger than any other.
+    it was is carried only where normalising changed it. Of rows with one id, the one with the least hash of its
+    columns (but maps and variants) stays; a null id is larger than any other.
     """
     text, others = F.col(text_col), [c for c in docs.columns if c != text_col]
     norm = normalised(text)
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
     rows = docs.select(
         F.sha2(norm, 256).alias("_sha"), F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"), norm.alias("_text"),
-        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("mark")).alias("_rank"),
+        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(*hashed).alias("mark")).alias("_rank"),
         F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)), text.isNull().alias("null_text"), F.when(text != norm, text).alias("raw_text")).alias("_row"))
 
     def best(frame: DataFrame, *keys: str) -> DataFrame:
