@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.operands import cast_id
+from .functions.shape import fit
 from .operators import documents, drafts, joins
 from .operators.paths import Scope, resolve
 from .operators.sort import Sort, bounds, order_by, page_info
@@ -612,7 +613,7 @@ class Engine:
         kind = self._type(slug)
         json_of = raw.select(F.struct("*").alias("_raw"), F.to_json(F.struct("*")).alias("_text"))
         cut = json_of.select("_raw", "_text", F.from_json("_text", kind, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]['Z']"}).alias("_doc"))
-        marked = cut.select("_doc", (F.to_json(F.from_json("_text", raw.schema)) != F.to_json(_fitted(F.col("_doc"), kind, raw.schema))).alias("_modified"))
+        marked = cut.select("_doc", (F.to_json(F.from_json("_text", raw.schema)) != F.to_json(fit(F.col("_doc"), kind, raw.schema))).alias("_modified"))
         report = marked.agg(F.count(F.lit(1)).alias("scanned"), F.coalesce(F.sum(F.col("_modified").cast("int")), F.lit(0)).alias("modified")).first().asDict()
         return marked.select("_doc.*"), report
 
@@ -643,15 +644,3 @@ def _constant(value: Any, kind: T.DataType) -> Column:
     if isinstance(value, datetime):
         return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(kind)
     return F.lit(value).cast(kind)
-
-
-def _fitted(doc: Column, kind: T.StructType, raw: T.StructType) -> Column:
-    """A cut document in the shape of the raw rows: what the schema does not know is null."""
-    def fit(c: Column, have: T.DataType, want: T.DataType) -> Column:
-        if isinstance(want, T.StructType) and isinstance(have, T.StructType):
-            parts = [fit(c[f.name], have[f.name].dataType, f.dataType).alias(f.name) if f.name in have.names else F.lit(None).cast(f.dataType).alias(f.name) for f in want.fields]
-            return F.when(c.isNotNull(), F.struct(*parts))
-        if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
-            return F.transform(c, lambda x: fit(x, have.elementType, want.elementType))
-        return c.cast(want)
-    return fit(doc, kind, raw)

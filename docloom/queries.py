@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import Any
 
@@ -171,6 +172,32 @@ query("w_delete_many", """SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM
 query("unique_conflicts", "SELECT 'c_mktsegment' AS path, c_mktsegment AS value, count(*) AS count FROM customer GROUP BY 2 HAVING count(*) > 1")(lambda e: _with_unique(e).unique_conflicts_df("customer"))
 
 
+def stored(name: str, sql: str) -> Callable:
+    """Register a function of an engine that writes to a folder of its own below the shared one."""
+    def register(f: Callable[[Engine], DataFrame]) -> Callable:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            top = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+            return f(engine(spark, folder, root=f"{top.rstrip('/')}/docloom-{name}-{uuid.uuid4().hex}"))
+        QUERIES[name], ORACLES[name] = run, sql
+        return f
+    return register
+
+
+@stored("w_create_upsert_delete", """SELECT * FROM (SELECT r_regionkey::BIGINT AS r_regionkey, CASE WHEN r_regionkey = 1 THEN 'changed' ELSE r_name END AS r_name FROM region WHERE r_regionkey <> 3 UNION ALL SELECT 77, 'made' UNION ALL SELECT 78, 'put')""")
+def _written(e: Engine) -> DataFrame:
+    e.create("region", {"r_name": "made"}, custom_id=77)
+    e.upsert("region", {"r_name": "changed"}, {"id": {"equals": "1"}})
+    e.upsert("region", {"id": 78, "r_name": "put"}, {"r_name": {"equals": "nothing like it"}})
+    e.delete_one("region", {"id": {"equals": 3}})
+    return e.frame("region").select("r_regionkey", "r_name")
+
+
+@stored("w_new_version", f"SELECT conv_id AS parent, turn, latest AND conv_id <> 1 AS latest FROM ({_TURNS}) UNION ALL SELECT 1, 99, true")
+def _new_version(e: Engine) -> DataFrame:
+    e.create_version("conversations", {"turn": 99, "role": "user", "text": "again"}, parent="1")
+    return e.frame("conversations_versions").select("parent", F.col("version.turn").cast("bigint").alias("turn"), "latest")
+
+
 def _reved(frame: DataFrame) -> DataFrame:
     return frame.withColumns({"_rev": F.lit(1).cast("bigint"), "updatedAt": F.lit(None).cast("timestamp_ntz")})
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.shape import fit
+
 #: Deltas that a commit may leave before they are folded into the base.
 MOST_DELTAS = 20
 
@@ -107,8 +109,8 @@ class Store:
 
     def shaped(self, rows: DataFrame) -> DataFrame:
         """The store's columns in their types; absent ones are null, unknown ones go."""
-        have = set(rows.columns)
-        return rows.select(*((F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema.fields))
+        have = {f.name: f.dataType for f in rows.schema.fields}
+        return rows.select(*((fit(F.col(f"`{f.name}`"), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in self.schema.fields))
 
 
 class Tables:
