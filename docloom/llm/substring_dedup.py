@@ -206,11 +206,13 @@ def _keys(group: np.ndarray, k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, to
     a = np.flatnonzero(new)
     b = np.concatenate([a[1:], [len(k1)]]).astype(int)[:len(a)] - 1
     passed = np.zeros(len(a), np.int64) if total is None else total[order][a]
-    return [pa.array(x) for x in (group[a].astype(np.int64), signed(k1[a]), signed(k2[a]), doc[a], doc[b], b - a + 1, passed)]
+    return [pa.array(x) for x in (group[a].astype(np.int64), doc[a], signed(k1[a]), doc[b] - doc[a], b - a, signed(k2[a]), passed)]
 
 
-_NAMES = ["g", "k1", "k2", "lo", "hi", "n", "total"]
-_SENT = "g bigint, k1 bigint, k2 bigint, lo bigint, hi bigint, n bigint, total bigint"
+#: What a group sends: lo is the smallest document, lo + span the largest, more + 1 how often the key occurs there. Most
+#: spans and mores are 0, and stand together, as then the shuffle's compression makes nothing of them.
+_NAMES = ["g", "lo", "k1", "span", "more", "k2", "total"]
+_SENT = "g bigint, lo bigint, k1 bigint, span bigint, more bigint, k2 bigint, total bigint"
 
 
 def _cat(parts: list[np.ndarray], kind) -> np.ndarray:
@@ -288,7 +290,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         Both filters over the stretches read all columns, so that their rows are sent once and not once for each.
         """
         w = Window.partitionBy("k1", "k2")
-        back = sent.withColumns({"owner": F.min("lo").over(w), "most": F.max("hi").over(w), "times": F.sum("n").over(w)})
+        back = sent.withColumns({"owner": F.min("lo").over(w), "most": F.max(F.col("lo") + F.col("span")).over(w), "times": F.sum(F.col("more") + 1).over(w)})
         return back.filter(wanted).select(F.col("g").alias("_g"), F.lit(kind).alias("kind"), "k1", "k2", "owner", "times")
 
     def blocks(left: pa.Table, right: pa.Table) -> pa.Table:
