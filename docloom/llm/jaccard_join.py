@@ -237,8 +237,10 @@ def similarity_links(sets: DataFrame, percent: int) -> DataFrame:
     tokens = sets.select("sid", F.explode("tokens").alias("token"))
     heads = tokens.groupBy("token").agg(F.min("sid").alias("head"))
     cells = components(tokens.join(heads, "token").select(F.col("sid").alias("a"), F.col("head").alias("b")))
-    members = materialize(sets.select("sid", "n", "grams").dropDuplicates(["sid"]).join(cells, sets.sid == cells.node).select("sid", F.col("label").alias("cell"), "n", "grams"), "cells")
-    split = members.join(_units(members), "cell").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    # blocks are found on rows without the sets; the sets then join by their own ids, which no cell can make uneven
+    members = materialize(sets.select("sid", "n").join(cells, F.col("sid") == F.col("node")).select("sid", F.col("label").alias("cell"), "n"), "cells")
+    placed = members.join(_units(members), "cell").select("sid", "cell", "blocks", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"))
+    split = sets.select("sid", "grams").join(placed, "sid")
     dealt = split.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "grams")
 
