@@ -28,7 +28,7 @@ from .plans.schema import Catalog, Collection, Field, Global, Localization, docu
 from .sources.tables import Conflict, Store, Tables
 
 ATTEMPTS = 10
-JOBS = "payload-jobs"
+JOBS = "jobs"
 
 
 def _now() -> datetime:

@@ -11,7 +11,7 @@ from docloom.sources.tables import Conflict, Store
 F_ = Field
 POSTS = Collection("posts", (F_("title"), F_("slug", unique=True), F_("rank", "number"), F_("at", "date"), F_("meta", "group", fields=(F_("author"), F_("words", "number"), F_("code", unique=True))), F_("tags", "array", fields=(F_("label"),)),
                              F_("sections", "blocks", blocks=(("text", (F_("body"),)), ("image", (F_("src"),)))), F_("extra", "json"), F_("name", localized=True, unique=True)), versions=True, drafts=False)
-JOBS = Collection("payload-jobs", (F_("queue"), F_("busy", "checkbox"), F_("log", "array", fields=(F_("message"),))))
+JOBS = Collection("jobs", (F_("queue"), F_("busy", "checkbox"), F_("log", "array", fields=(F_("message"),))))
 NUMBERS = Collection("numbers", (F_("v", "number"),), id="key", id_type="number")
 
 
@@ -110,7 +110,7 @@ def test_globals(engine):
 
 def test_jobs(engine):
     for k in range(4):
-        engine.create("payload-jobs", {"id": f"j{k}", "queue": "q", "busy": False, "createdAt": f"2024-01-0{k + 1}", "log": [{"message": "made"}]})
+        engine.create("jobs", {"id": f"j{k}", "queue": "q", "busy": False, "createdAt": f"2024-01-0{k + 1}", "log": [{"message": "made"}]})
     got = engine.update_jobs({"busy": True, "log": {"$push": {"message": "claimed"}}, "updatedAt": None}, where={"busy": {"equals": False}}, limit=2)
     assert [j["id"] for j in got] == ["j3", "j2"] and [x["message"] for x in got[0]["log"]] == ["made", "claimed"] and got[0]["updatedAt"] > "2024-02"
     assert [j["id"] for j in engine.update_jobs({"busy": True}, where={"busy": {"equals": False}}, sort="createdAt", limit=1)] == ["j0"]
