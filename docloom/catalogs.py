@@ -75,8 +75,8 @@ def places(frame: DataFrame) -> DataFrame:
 
 
 def translated(frame: DataFrame) -> DataFrame:
-    """Documents with their text as the title in their own language."""
-    titles = F.struct(*(F.when(F.col("lang") == code, F.substring("text", 1, 80)).alias(code) for code in LOCALES.locales))
+    """Documents with their whole text as the title in their own language."""
+    titles = F.struct(*(F.when(F.col("lang") == code, F.col("text")).alias(code) for code in LOCALES.locales))
     return frame.withColumn("title", titles).drop("text")
 
 

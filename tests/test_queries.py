@@ -217,6 +217,15 @@ def test_locales(articles):
     assert ids(articles, None, "articles", sort="title", locale="es") == ["2", "1"] and ids(articles, {"meta.blurb": {"exists": False}}, "articles", locale="es") == ["2"]
 
 
+def test_documents_are_searched_in_their_whole_text(spark, tmp_path):
+    from docloom import queries as q
+
+    rows = [(1, "x" * 200 + " The end", "en"), (2, "the start", "en"), (3, "x" * 200, "en"), (4, "x" * 200 + " Ein Ende", "de"), (5, "the other language", "fr"), (6, None, "en")]
+    spark.createDataFrame([(*r, "web", len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r.doc_id for r in q.QUERIES["locale_default"](spark, str(tmp_path)).collect()) == [1, 2]
+    assert [r.doc_id for r in q.QUERIES["locale_request"](spark, str(tmp_path)).collect()] == [4]
+
+
 # ------------------------------------------------------------------ versions and globals
 
 @pytest.fixture(scope="module")
