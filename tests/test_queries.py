@@ -249,6 +249,23 @@ def test_drafts(drafty):
     assert [v["id"] for v in drafty.find_versions("d", {"parent.title": {"like": "published"}}, limit=0)["docs"]] == ["v1", "v2"]
 
 
+def test_all_conversations_are_published(spark, tmp_path):
+    from docloom import queries as q
+    from docloom.catalogs import engine
+
+    rows = [(c, t, role, f"{c} {t}") for c in range(1, 7) for t, role in enumerate(("user", "assistant", "user")[:1 + c % 3])] + [(7, 0, "assistant", "a"), (7, 1, "user", "b"), (8, 1, "user", "never published"), (8, 2, "assistant", "nor this")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    e = engine(spark, str(tmp_path))
+    assert sorted(r.conv_id for r in e.frame("conversations").collect()) == [1, 2, 3, 4, 5, 6, 7]
+    # published rows as they are, conversation 7 through its latest version
+    assert sorted((r.conv_id, r.turn) for r in q.QUERIES["drafts_supplement"](spark, str(tmp_path)).collect()) == [(1, 0), (2, 0), (3, 0), (4, 0), (5, 0), (6, 0), (7, 1)]
+    assert sorted((r.conv_id, r.turn) for r in q.QUERIES["drafts_overlay"](spark, str(tmp_path)).collect()) == [(1, 1), (4, 1), (8, 2)]
+    # conversation 8 was never published, conversation 6 has no versions
+    e.put("conversations_versions", lambda f=e.frame("conversations_versions"): f.filter("parent <> 6"))
+    assert sorted((r.conv_id, r.turn) for r in e.find_df("conversations", {"role": {"equals": "assistant"}}, limit=0).collect()) == [(1, 1), (4, 1), (7, 0), (8, 2)]
+    assert sorted((r.conv_id, r.turn) for r in e.query_drafts_df("conversations", {"version.role": {"equals": "user"}}, limit=0).collect()) == [(2, 2), (3, 0), (5, 2), (6, 0), (7, 1)]
+
+
 def test_globals(drafty):
     assert drafty.find_global("site")["name"] == "Home" and drafty.find_global("site", {"name": {"equals": "x"}}) is None
     assert [v["id"] for v in drafty.find_global_versions("site", {"version.name": {"like": "home"}})["docs"]] == ["g1"] and drafty.count_global_versions("site") == {"totalDocs": 1}
