@@ -598,13 +598,17 @@ class Engine:
         return reduce(DataFrame.unionByName, parts)
 
     def backfill(self) -> dict[str, Any]:
-        """A report on unique fields of all collections: conflicts, and which paths are free of them."""
+        """A report on unique fields of all collections: conflicts, and which paths are free of them.
+
+        `conflicts` has a DataFrame of all conflicts (`unique_conflicts_df`) for each collection with any.
+        """
         report: dict[str, Any] = {"conflicts": {}, "ready": []}
         for slug in self.catalog.collections:
-            found = self.unique_conflicts_df(slug).limit(1000).collect() if self._unique(slug) else []
-            if found:
-                report["conflicts"][slug] = [r.asDict() for r in found]
-            broken = {r["path"] for r in found}
+            if not self._unique(slug):
+                continue
+            found = self.unique_conflicts_df(slug)
+            if broken := {r["path"] for r in found.select("path").distinct().collect()}:
+                report["conflicts"][slug] = found
             report["ready"] += [f"{slug}.{'.'.join(p)}" for p in self._unique(slug) if ".".join(p) not in broken]
         return report
 

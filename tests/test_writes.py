@@ -63,6 +63,14 @@ def test_unique_values(engine):
     assert engine.unique_conflicts_df("posts").count() == 0 and engine.backfill() == {"conflicts": {}, "ready": ["posts.slug", "posts.meta.code", "posts.name.en", "posts.name.de"]}
 
 
+def test_backfill_reports_every_conflict(spark):
+    c = Collection("c", (F_("a", unique=True), F_("b", unique=True), F_("free", unique=True)))
+    e = Engine(spark, [c]).put("c", spark.range(2400).selectExpr("string(id) id", "string(id % 1200) a", "if(id < 2, 'same', string(id)) b", "string(id) free"))
+    report = e.backfill()
+    assert report["ready"] == ["c.free"] and report["conflicts"].keys() == {"c"}
+    assert [tuple(r) for r in report["conflicts"]["c"].groupBy("path").count().orderBy("path").collect()] == [("a", 1200), ("b", 1)]
+
+
 def test_many(engine, spark):
     engine.create_many("posts", spark.createDataFrame([(f"p{k}", f"t{k}", float(k % 3)) for k in range(9)], "id string, title string, rank double"))
     with pytest.raises(ValidationError):
