@@ -14,7 +14,8 @@ def bounded_sample(labelled: DataFrame, docs: DataFrame, *, id_col: str = "doc_i
     """(label, text) of at most `per_class` documents and `class_bytes` bytes of each label, chosen by a hash of the id.
 
     The choice depends on ids and labels alone, so it is the same in every run. Rows with a null id, label or text are
-    left out. Texts are whole; one that would exceed the bytes is skipped. The number of labels must be small.
+    left out. Texts are whole; the bytes are filled in the order of the hash, and a text that
+    would exceed them is skipped. The number of labels must be small.
     """
     spark = docs.sparkSession
     rows = labelled.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).dropna().withColumn("_h", F.pmod(F.xxhash64("_id"), F.lit(1 << 40)))
@@ -30,8 +31,8 @@ def bounded_sample(labelled: DataFrame, docs: DataFrame, *, id_col: str = "doc_i
         some = some | c
     best: dict = {}
     for label, h, i in sorted((r["_label"], r["_h"], r["_id"]) for r in rows.filter(some).select("_label", "_h", "_id").distinct().collect()):
-        if len(own := best.setdefault(label, [])) < per_class:
-            own.append(i)
+        if len(own := best.setdefault(label, {})) < per_class:
+            own[i] = h
     picked = [(i, label) for label, ids in best.items() for i in ids]
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter("_text is not null")
 
@@ -40,7 +41,7 @@ def bounded_sample(labelled: DataFrame, docs: DataFrame, *, id_col: str = "doc_i
         return texts.join(F.broadcast(frame), "_id")
 
     kept, used = [], {}
-    for r in sorted(joined(picked).select("_id", "_label", F.octet_length("_text").alias("n")).collect(), key=lambda r: (str(r["_label"]), hash(r["_id"]))):
+    for r in sorted(joined(picked).select("_id", "_label", F.octet_length("_text").alias("n")).collect(), key=lambda r: (best[r["_label"]][r["_id"]], r["_id"], r["n"])):
         if used.get(r["_label"], 0) + r["n"] <= class_bytes:
             used[r["_label"]] = used.get(r["_label"], 0) + r["n"]
             kept.append((r["_id"], r["_label"]))

@@ -114,6 +114,13 @@ def test_bounded_sample(spark):
     assert bounded_sample(docs.filter("false"), docs, label_col="lang") == []
 
 
+def test_bytes_of_a_sample_are_filled_in_the_order_of_the_hash(spark):
+    docs = frame(spark, [(k, f"{k:04d}" + "x" * 96, "a", None, None) for k in range(400)])
+    got = [int(t[:4]) for _, t in bounded_sample(docs, docs, label_col="lang", class_bytes=10_000)]
+    order = [r.doc_id for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id), 1099511627776) h").orderBy("h").collect()]
+    assert sorted(got) == sorted(order[:100]) and max(got) > 300
+
+
 # ------------------------------------------------------------------ toxicity
 
 def toxic_sample(n=300, seed=2):
