@@ -4,7 +4,8 @@ One model for each language, up to `ORDER` characters. The models of all languag
 hashes: `keys` with a column of discounted probabilities for each language, and `contexts` with a column of
 interpolation weights. A text is given to the language with the lowest cross-entropy for each character; how far the
 entropies lie apart, on a temperature calibrated on other texts than those counted, gives the score, and an entropy
-above a calibrated bound means that no learned language fits.
+above a calibrated bound means that no learned language fits. All letters of the counted texts are learned; only beyond
+65,534 distinct ones, more than the Basic Multilingual Plane has, would the rarest share one symbol.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ UNDETERMINED = "und"
 #: Most documents and bytes of one language that the models count.
 PER_LANGUAGE = 800
 LANGUAGE_BYTES = 2_500_000
+#: Bits of a symbol; four symbols fill 64 bits.
+_SYMBOL = 16
+_UNKNOWN = (1 << _SYMBOL) - 1
 _PAD = " " * (ORDER - 1)
 _LETTER: np.ndarray | None = None
 
@@ -58,7 +62,7 @@ def grams(sym: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, code) of the n-gram of order ORDER that ends at each symbol behind the padding."""
     code = np.zeros(len(sym), U)
     for k in range(ORDER):
-        code[k:] |= sym[:len(sym) - k].astype(U) << U(8 * k)
+        code[k:] |= sym[:len(sym) - k].astype(U) << U(_SYMBOL * k)
     rows = np.repeat(np.arange(len(at) - 1), np.diff(at))
     real = np.ones(len(sym), bool)
     for k in range(ORDER - 1):
@@ -67,7 +71,7 @@ def grams(sym: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hash(code: np.ndarray, order: int) -> np.ndarray:
-    return mix(code * U(8) + U(order))
+    return mix(mix(code) + U(order))
 
 
 @dataclass
@@ -82,8 +86,8 @@ class Models:
     bound: float = 99.0
 
     def table(self) -> np.ndarray:
-        """Symbol of each code point: 0 for what is no letter, 255 for letters not learned."""
-        table = np.where(letters(), 255, 0).astype(np.uint8)
+        """Symbol of each code point: 0 for what is no letter, _UNKNOWN for letters not learned."""
+        table = np.where(letters(), _UNKNOWN, 0).astype(np.uint16)
         table[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
         return table
 
@@ -91,8 +95,8 @@ class Models:
         """log2 of the probability of each n-gram's last symbol behind the others, by language."""
         p = np.full((len(code), len(self.languages)), 1.0 / (len(self.alphabet) + 2))
         for n in range(1, ORDER + 1):
-            own = code & U((1 << (8 * n)) - 1)
-            p *= _lookup(self.contexts, self.weight, _hash(own >> U(8), n), 1.0)
+            own = code & U((1 << (_SYMBOL * n)) - 1)
+            p *= _lookup(self.contexts, self.weight, _hash(own >> U(_SYMBOL), n), 1.0)
             p += _lookup(self.keys, self.direct, _hash(own, n), 0.0)
         return np.log2(p)
 
@@ -100,13 +104,11 @@ class Models:
         """(bits for each symbol by text and language, symbols of each text, has_letter)."""
         sym, at, alpha = symbols(texts, table)
         rows, code = grams(sym, at)
-        both = np.sort((rows.astype(U) << U(8 * ORDER)) | code)
-        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
-        times = np.diff(np.concatenate([first, [len(both)]]))
-        both = both[first]
-        kinds, which = np.unique(both & U((1 << (8 * ORDER)) - 1), return_inverse=True)
+        kinds = np.unique(code)
+        which = np.searchsorted(kinds, code)
         bits = -self.log2(kinds)
-        row = (both >> U(8 * ORDER)).astype(np.int64)
+        both, times = np.unique(rows * max(len(kinds), 1) + which, return_counts=True)
+        row, which = both // max(len(kinds), 1), both % max(len(kinds), 1)
         size = np.maximum(np.bincount(row, times, len(texts)), 1)
         h = np.stack([np.bincount(row, times * bits[which, k], len(texts)) for k in range(len(self.languages))], 1) if len(self.languages) else np.zeros((len(texts), 0))
         return h / size[:, None], size, alpha
@@ -140,7 +142,7 @@ def fit(sample: list[tuple[str, str]]) -> Models:
         c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
         np.add.at(seen, c, 1)
     alphabet = np.flatnonzero(letters() & (seen > 0))
-    alphabet = np.sort(alphabet[np.argsort(-seen[alphabet], kind="stable")][:254])
+    alphabet = np.sort(alphabet[np.argsort(-seen[alphabet], kind="stable")][:_UNKNOWN - 1])
     m = Models(languages, alphabet, *(np.zeros(0, U), np.zeros((0, len(languages)))) * 2)
     table, parts = m.table(), ([], [])
     for k, lang in enumerate(languages):
@@ -148,10 +150,10 @@ def fit(sample: list[tuple[str, str]]) -> Models:
         gram, count = np.unique(code, return_counts=True)
         for n in range(ORDER, 0, -1):
             if n < ORDER:  # lower orders count how many symbols an n-gram has been seen behind
-                gram, count = np.unique(gram & U((1 << (8 * n)) - 1), return_counts=True)
+                gram, count = np.unique(gram & U((1 << (_SYMBOL * n)) - 1), return_counts=True)
             ones, twos = (count == 1).sum(), (count == 2).sum()
             d = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones and twos else 0.5
-            ctx, which = np.unique(gram >> U(8), return_inverse=True)
+            ctx, which = np.unique(gram >> U(_SYMBOL), return_inverse=True)
             total, types = np.bincount(which, count), np.bincount(which)
             parts[0].append((k, _hash(gram, n), (count - d) / total[which]))
             parts[1].append((k, _hash(ctx, n), d * types / total))

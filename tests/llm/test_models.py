@@ -79,6 +79,16 @@ def test_language_keys_are_sorted():
     assert (np.diff(m.keys.astype(object)) > 0).all() and (np.diff(m.contexts.astype(object)) > 0).all() and m.keys.dtype == U
 
 
+def test_languages_with_many_letters_are_told_apart():
+    rng = np.random.default_rng(4)
+    words = {lang: ["".join(chr(first + c) for c in rng.integers(0, 600, 2)) for _ in range(60)] for lang, first in (("han", 0x4E00), ("hangul", 0xAC00))}
+    common = [("latin", "abcdefghijklmnopqrstuvwxyz " * 500), ("many", " ".join(chr(c) * 400 for c in range(0x1401, 0x1401 + 250)))]
+    texts = [(lang, " ".join(rng.choice(w, 40))) for lang, w in words.items() for _ in range(30)]
+    m = langid.fit(common + texts[:19] + texts[30:49])
+    h, size, _ = m.entropies([t for _, t in texts], m.table())
+    assert len(m.alphabet) > 254 and [m.languages[k] for k in m.decide(h, size)[0]] == [lang for lang, _ in texts]
+
+
 def test_language_odd_rows(spark):
     m = langid.fit([("en", "the cat and the hat are in the house " * 3), ("de", "der hund und die katze sind im haus " * 3), ("en", "this is the other one"), ("de", "das ist der andere")])
     rows = [(1, "the house and the cat", None, None, None), (2, "die katze und der hund", None, None, None), (3, None, None, None, None), (4, "", None, None, None), (5, "12 +- 3!", None, None, None), (5, "  ", None, None, None)]
