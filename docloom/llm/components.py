@@ -3,7 +3,8 @@
 Each round every node is merged into the least of itself and its neighbours, and the links are renamed; links within
 one node vanish. Names should be hashes: then the least neighbour is a random one, every round leaves a constant share
 of the nodes, and long chains need a logarithmic number of rounds. A hub is a group of a partial aggregation, never a
-list. Every round is written to the shared folder.
+list, and rows that look up a hub's name are spread by salt over several tasks. Every round is written to the shared
+folder.
 """
 
 from __future__ import annotations
@@ -13,11 +14,26 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+#: Tasks over which the rows of one key are spread when they look it up.
+SALTS = 8
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: str) -> DataFrame:
+    """left with the columns of its key's row in right (null if it has none); right has one row for each key.
+
+    Left rows are spread by a salt made of column `by`, right rows are sent to each salt: a key that a third of all
+    left rows hold does not meet in one task.
+    """
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    every = right.withColumn("_salt", F.explode(F.array(*(F.lit(k) for k in range(SALTS)))))
+    return salted.join(every, [key, "_salt"], "left").drop("_salt")
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) of all nodes that a link touches; two nodes have one label when links connect them.
 
-    Self-links and repeated links are allowed; nulls must not occur. No links give an empty result.
+    The label is one of the nodes of the component. Self-links, repeated links and links with a null end are allowed
+    and count for nothing. No links give an empty result.
     """
     pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
     edges = materialize(pairs.filter("a <> b").distinct(), "links")
@@ -29,10 +45,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if names is None:
             names = least.select(F.col("n").alias("node"), F.col("m").alias("label"))
         else:
-            names = names.join(least, names.label == least.n, "left").select("node", F.coalesce("m", "label").alias("label"))
-        names = materialize(names, "names")
-        left = edges.join(least, edges.a == least.n).select(F.col("m").alias("a"), "b")
-        moved = left.join(least, left.b == least.n).select("a", F.col("m").alias("b"))
+            named = spread_join(names, least.withColumnRenamed("n", "label"), "label", "node")
+            names = materialize(named.select("node", F.coalesce("m", "label").alias("label")), "names")
+        half = spread_join(edges, least.withColumnRenamed("n", "a"), "a", "b").select(F.col("m").alias("a"), "b")
+        moved = spread_join(half, least.withColumnRenamed("n", "b"), "b", "a").select("a", F.col("m").alias("b"))
         edges = materialize(moved.filter("a <> b").distinct(), "links")
         if edges.isEmpty():
             return names

@@ -142,21 +142,55 @@ def test_jaccard_components(spark, n, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == component_truth(rows, n, percent)
 
 
-def test_jaccard_large_group_is_split(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "SMALL_SETS", 4)
-    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 6)
+def test_jaccard_large_group_with_hot_shingles(spark):
     rng = np.random.default_rng(4)
     base = [f"w{k}" for k in range(120)]
     rows = []
-    for i in range(60):
+    for i in range(90):
         w = list(base)
         for k in rng.integers(0, 120, rng.integers(0, 5)):
             w[k] = f"e{rng.integers(0, 3)}"
-        rows.append((i, " ".join(w), None, None, None))
+        rows.append((i, " ".join(w[:rng.integers(80, 121)]), None, None, None))
+    for hot in (3, 2048):
+        got = jaccard_join.jaccard_components(frame(spark, rows), hot=hot).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == component_truth(rows, 4, 85)
+
+
+def test_jaccard_null_and_repeated_ids_and_long_texts(spark):
+    long = " ".join(f"v{k % 7}x{k}" for k in range(30_000))
+    rows = [(None, "one two three four five", None, None, None)] * 40 + [(7, "ONE two three four five", None, None, None)] * 3 + [(7, "other words", None, None, None), (9, long, None, None, None), (3, long + " more", None, None, None), (None, None, None, None, None)]
+    got = sorted((r.doc_id or -1, r.n_shingles, -1 if r.component_id is None else r.component_id) for r in jaccard_join.jaccard_components(frame(spark, rows)).collect())
+    assert got == sorted([(-1, 2, 7)] * 40 + [(7, 2, 7)] * 3 + [(7, 1, 7), (9, 29997, 3), (3, 29998, 3), (-1, 0, -1)])
+
+
+def test_unrelated_texts_with_stock_phrases_are_not_compared(spark):
+    rng = np.random.default_rng(6)
+    phrases = [" ".join(f"s{p}w{k}" for k in range(8)) for p in range(500)]
+    rows = [(i, " ".join([*(f"u{i}n{k}" for k in range(12 if i % 2 else 60)), *(phrases[p] for p in rng.integers(0, 500, 5))]), None, None, None) for i in range(20_000)]
+    prefix, _ = jaccard_join.split_sets(_written(spark, jaccard_join.candidate_sets(_written(spark, jaccard_join.document_sets(frame(spark, rows), id_col="doc_id", text_col="text", n=4)), n=4, percent=85)))
+    assert jaccard_join.head_pairs(prefix, 85).count() + jaccard_join.other_pairs(prefix, components(spark.createDataFrame([], "a binary, b binary")), 85).count() < 100
+
+
+def test_independent_texts_of_few_words_are_compared_within_reach_only(spark):
+    rng = np.random.default_rng(7)
+    after = rng.integers(0, 60, (60, 3))  # a chain with three followers for each word
+    rows = []
+    for i in range(1000):
+        w = [int(rng.integers(0, 60))]
+        for _ in range(80):
+            w.append(int(after[w[-1], rng.integers(0, 3)]))
+        rows.append((i, " ".join(f"c{x}" for x in w), None, None, None))
+    prefix, _ = jaccard_join.split_sets(_written(spark, jaccard_join.candidate_sets(_written(spark, jaccard_join.document_sets(frame(spark, rows), id_col="doc_id", text_col="text", n=4)), n=4, percent=85)))
+    alone = components(spark.createDataFrame([], "a binary, b binary"))
+    assert jaccard_join.other_pairs(prefix, alone, 85).count() < 1000 * 999 // 2 // 10
     got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == component_truth(rows, 4, 85)
 
 
+def _written(spark, df):
+    return jaccard_join.materialize(df, "test")
+
+
 def test_jaccard_empty_and_keep_one(spark):
     rows = [(3, "A b c d e f", None, None, None), (2, "a B c d e f", None, None, None), (4, None, None, None, None), (5, " ", None, None, None), (6, "q", None, None, None), (1, "Q", None, None, None)]
     kept = jaccard_join.keep_one(frame(spark, rows)).collect()
@@ -164,34 +198,16 @@ def test_jaccard_empty_and_keep_one(spark):
     assert jaccard_join.jaccard_components(frame(spark, rows).filter("false")).count() == 0
 
 
-def test_unit_links_against_all_pairs():
+def test_blocks_of_fingerprints():
     rng = np.random.default_rng(1)
-    for _ in range(60):
-        base = [rng.integers(0, 60, 20).astype(np.uint64) for _ in range(3)]
-        sets = []
-        for _ in range(int(rng.integers(2, 25))):
-            s = base[rng.integers(0, 3)].copy()
-            s[:rng.integers(0, 4)] = rng.integers(60, 90)
-            sets.append(np.unique(s))
-        k = int(rng.integers(1, len(sets)))
-        for first, second in ((sets, None), (sets[:k], sets[k:])):
-            true = set()
-            for i in range(len(sets)):
-                for j in range(i + 1, len(sets)):
-                    both = len(np.intersect1d(sets[i], sets[j]))
-                    if both and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both) and (second is None or i < k <= j):
-                        true.add((i, j))
-            found = jaccard_join.unit_links(first, second or None, 85) if second or second is None else []
-            assert all((min(x), max(x)) in true for x in found)
-            assert _joined(found, len(sets)) == _joined(true, len(sets))
-
-
-def _joined(links, n):
-    label = list(range(n))
-    for _ in range(n):
-        for a, b in links:
-            label[a] = label[b] = min(label[a], label[b])
-    return label
+    for size in (0, 1, 5, 1000):
+        r = np.unique(rng.integers(0, 1 << 32, size)).astype(np.uint32)
+        times = rng.integers(1, 400, len(r))
+        again, seen = jaccard_join.unpack(jaccard_join.pack(r, times))
+        assert (again == r).all() and (seen == np.minimum(times, 255)).all()
+    code = jaccard_join.frequency_code(np.array([1, 2, 3, 4, 10 ** 6, 10 ** 15]))
+    assert code.tolist()[:2] == [0, 1] and (np.diff(code.astype(int)) > 0).all()
+    assert (jaccard_join.blocks_of(code, 2048)[:4] == 1).all() and jaccard_join.blocks_of(code, 2048)[4] >= 10 ** 6 / 2048
 
 
 def test_components(spark):
@@ -200,3 +216,5 @@ def test_components(spark):
     chain = {got[x] for x, _ in links[:60]}
     assert len(chain) == 1 and got["a"] == got["b"] == got["d"] and "c" not in got
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+    odd = components(spark.createDataFrame([("a", None), (None, "b"), (None, None), ("a", "c"), *((f"h{k}", "hub") for k in range(500))], "a string, b string")).collect()
+    assert {r.node: r.label for r in odd} == {"a": "a", "c": "a", "hub": "h0", **{f"h{k}": "h0" for k in range(500)}}
