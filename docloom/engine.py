@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Any
@@ -197,12 +197,12 @@ class Engine:
         return self.find_one(collection, {"id": {"equals": id}})
 
     def distinct_df(self, collection: str, field: str, where: dict | None = None, sort: Sort = None, limit: int = 10, page: int = 1, locale: str | None = None) -> DataFrame:
-        """One page of the distinct values of a field (column `value`); the path is taken as stored, lists are not entered."""
+        """One page of the distinct values of a field (column `value`); the path is taken as stored, lists are not entered, absent values left out."""
         found = self.matching(collection, where, locale)
         target = resolve(Scope(found, flatten(()), Catalog(), self.scope(collection, found, locale).id), field)
         if target.kind == "missing":
             return found.select(F.lit(None).alias("value")).filter(F.lit(False))
-        values = found.select((target.raw if target.raw is not None else target.column).alias("value")).distinct()
+        values = found.select((target.raw if target.raw is not None else target.column).alias("value")).filter("value is not null").distinct()
         key = sort if isinstance(sort, str) else (sort or [""])[0]
         _, skip, take = bounds(limit, page)
         ordered = values.orderBy(F.col("value").desc_nulls_last() if key.startswith("-") else F.col("value").asc_nulls_first())
@@ -432,12 +432,12 @@ class Engine:
             found = found.orderBy(*order_by(scope, sort)).limit(limit)
         return self._patched(collection, found, data, data.get("updatedAt") or stamp or _now())
 
-    def update_many(self, collection: str, data: dict, where: dict | None = None, sort: Sort = None, limit: int = 0, locale: str | None = None, returning: bool = True) -> list[dict] | None:
-        """Merge data into all matches (the first `limit` in order), with one time stamp."""
+    def update_many_rows(self, collection: str, data: dict, where: dict | None = None, sort: Sort = None, limit: int = 0, locale: str | None = None, returning: bool = True) -> DataFrame | None:
+        """Merge data into all matches (the first `limit` in order), with one time stamp; the rows as written, in order."""
         stamp = _now()
         c = self.catalog.collections[collection]
 
-        def attempt(store: Store, n: int, rows: DataFrame) -> list[dict] | None:
+        def attempt(store: Store, n: int, rows: DataFrame) -> DataFrame:
             changed = self.update_many_df(collection, rows, data, where, sort, limit, locale, stamp)
             given = self._projected(collection, data)
             for path in self._unique(collection):
@@ -447,14 +447,18 @@ class Engine:
                     ids = changed.select(F.col(c.id).alias("_c"))
                     if changed.limit(2).count() > 1 or rows.filter(column == value).join(ids, F.col(c.id) == F.col("_c"), "left_anti").limit(1).count() and changed.limit(1).count():
                         raise ValidationError(f"{'.'.join(path)} must be unique", [".".join(path)])
-            store.change(changed, None, n)
-            if not returning:
-                return None
-            scope = self.scope(collection, rows, locale)
-            ids = self.update_many_df(collection, rows, {}, where, sort, limit, locale, stamp).orderBy(*order_by(scope, sort)).select(c.id).collect()
-            after = {r[c.id]: self._document(collection, r) for r in self.frame(collection).join(changed.select(F.col(c.id).alias("_c")), F.col(c.id) == F.col("_c"), "left_semi").collect()}
-            return [after[r[0]] for r in ids if r[0] in after]
-        return self._retried(collection, attempt)
+            done = store.change(changed, None, n)
+            return store.delta(done).drop("_rev").orderBy(*order_by(self.scope(collection, rows, locale), sort))
+        rows = self._retried(collection, attempt)
+        return rows if returning else None
+
+    def update_many(self, collection: str, data: dict, where: dict | None = None, sort: Sort = None, limit: int = 0, locale: str | None = None, returning: bool = True) -> Iterator[dict] | None:
+        """`update_many_rows` as documents, which come to the driver a partition at a time."""
+        rows = self.update_many_rows(collection, data, where, sort, limit, locale, returning)
+        return self._streamed(collection, rows) if rows is not None else None
+
+    def _streamed(self, slug: str, rows: DataFrame) -> Iterator[dict]:
+        return (self._document(slug, r) for r in rows.toLocalIterator())
 
     def upsert(self, collection: str, data: dict, where: dict | None = None, locale: str | None = None, returning: bool = True) -> dict | None:
         """Merge data into the first match, or insert it."""
@@ -552,36 +556,38 @@ class Engine:
             return row
         return self._returned(slug, self._retried(slug, attempt), returning)
 
-    def update_jobs(self, data: dict, id: Any = None, where: dict | None = None, sort: Sort = None, limit: int = 0, returning: bool = True, collection: str = JOBS) -> list[dict] | None:
-        """Claim jobs: merge data into a job by id or the first matches in order.
+    def update_jobs_rows(self, data: dict, id: Any = None, where: dict | None = None, sort: Sort = None, limit: int = 0, collection: str = JOBS) -> DataFrame:
+        """Claim jobs: merge data into a job by id or the first matches in order; the rows as written, in order.
 
         `log: {"$push": entry}` appends to the log, a non-empty list replaces it, anything else leaves it. A missing
         `updatedAt` means now.
         """
         c = self.catalog.collections[collection]
         log, rest = data.get("log"), {k: v for k, v in data.items() if k not in ("log", "updatedAt")}
+        stamp = data.get("updatedAt") or _now()
 
-        def attempt(store: Store, n: int, rows: DataFrame) -> list[dict]:
+        def attempt(store: Store, n: int, rows: DataFrame) -> DataFrame:
+            order = order_by(self.scope(collection, rows, None), sort or c.default_sort or "-createdAt")
             if id is not None:
                 found = rows.filter(F.col(f"`{c.id}`") == cast_id(id, c.id_type))
             else:
                 found = rows.filter(self.condition(collection, rows, where)) if where else rows
-                found = found.orderBy(*order_by(self.scope(collection, rows, None), sort or c.default_sort or "-createdAt"))
-                found = found.limit(limit) if limit and limit > 0 else found
-            out = []
-            for old in (r.asDict(recursive=True) for r in found.collect()):
-                row = self._merged(collection, old, rest, data.get("updatedAt") or _now())
-                if isinstance(log, list) and log:
-                    row["log"] = self._projected(collection, {"log": log})["log"]
-                elif isinstance(log, dict) and "$push" in log:
-                    pushed = log["$push"] if isinstance(log["$push"], list) else [log["$push"]]
-                    row["log"] = [*(old.get("log") or []), *(self._projected(collection, {"log": pushed})["log"] or [])]
-                out.append(row)
-            if out:
-                store.change(self._frame_of(collection, out), None, n)
-            return out
-        done = self._retried(collection, attempt)
-        return [documents.document(r, self._fields(collection)) for r in done] if returning else None
+                found = found.orderBy(*order).limit(limit) if limit and limit > 0 else found
+            changed = self._patched(collection, found, rest, stamp)
+            kind = rows.schema["log"].dataType if "log" in rows.columns else None
+            if kind is not None and isinstance(log, list) and log:
+                changed = changed.withColumn("log", _constant(self._projected(collection, {"log": log})["log"], kind))
+            elif kind is not None and isinstance(log, dict) and "$push" in log:
+                pushed = log["$push"] if isinstance(log["$push"], list) else [log["$push"]]
+                more = _constant(self._projected(collection, {"log": pushed})["log"] or [], kind)
+                changed = changed.withColumn("log", F.concat(F.coalesce("log", F.array().cast(kind)), more))
+            return store.delta(store.change(changed, None, n)).drop("_rev").orderBy(*order)
+        return self._retried(collection, attempt)
+
+    def update_jobs(self, data: dict, id: Any = None, where: dict | None = None, sort: Sort = None, limit: int = 0, returning: bool = True, collection: str = JOBS) -> Iterator[dict] | None:
+        """`update_jobs_rows` as documents, which come to the driver a partition at a time."""
+        rows = self.update_jobs_rows(data, id, where, sort, limit, collection)
+        return self._streamed(collection, rows) if returning else None
 
     # -------------------------------------------------------------- maintenance
 
@@ -612,6 +618,14 @@ class Engine:
             report["ready"] += [f"{slug}.{'.'.join(p)}" for p in self._unique(slug) if ".".join(p) not in broken]
         return report
 
+    def compact(self, slug: str, deltas_only: bool = False) -> None:
+        """Fold the changes of a written table into its base, or into one change set; see `Store.compact`."""
+        self._store(slug).compact(deltas_only)
+
+    def clean(self, slug: str, keep: int = 10, older_than: float = 24 * 3600) -> None:
+        """Remove what old commits of a written table left; see `Store.clean`."""
+        self._store(slug).clean(keep, older_than)
+
     def scrub(self, slug: str, raw: DataFrame) -> tuple[DataFrame, dict[str, int]]:
         """Cut raw rows down to the schema: (rows in stored form, how many were scanned and modified)."""
         kind = self._type(slug)

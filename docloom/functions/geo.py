@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+import math
 from functools import reduce
 from typing import Any
 
@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .operands import number
+
 #: Mean radius of the earth in metres; a fixed value.
 EARTH = 6_371_008.8
 
@@ -17,7 +19,7 @@ EARTH = 6_371_008.8
 def coordinates(c: Column, kind: T.DataType) -> tuple[Column, Column] | None:
     """(longitude, latitude) of a stored point; None if the column cannot hold one."""
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
-        whole = F.size(c) == 2
+        whole = F.size(c) >= 2
         return F.when(whole, F.get(c, F.lit(0))), F.when(whole, F.get(c, F.lit(1)))
     if isinstance(kind, T.StructType):
         if {"lng", "lat"} <= set(kind.names):
@@ -34,21 +36,35 @@ def distance(lng: Column, lat: Column, to: tuple[float, float]) -> Column:
     return 2 * EARTH * F.asin(F.least(F.lit(1.0), F.sqrt(half)))
 
 
-def _numbers(operand: Any) -> list[float | None]:
-    parts = operand.split(",") if isinstance(operand, str) else list(operand or [])
-    out: list[float | None] = []
-    for x in parts:
-        try:
-            out.append(float(x))
-        except (TypeError, ValueError):
-            out.append(None)
-    return out
+def _finite(value: Any) -> float | None:
+    """A finite number, given as one or as text; None for anything else."""
+    if isinstance(value, str):
+        value = number(value)
+    if isinstance(value, bool) or not isinstance(value, (int, float)):
+        return None
+    try:
+        value = float(value)
+    except OverflowError:
+        return None
+    return value if math.isfinite(value) else None
+
+
+def position(value: Any) -> tuple[float, float] | None:
+    """(longitude, latitude) of an operand: a list of two numbers or more, or an object with such `coordinates`."""
+    pair = value.get("coordinates") if isinstance(value, dict) else value
+    if not isinstance(pair, (list, tuple)) or len(pair) < 2:
+        return None
+    lng, lat = _finite(pair[0]), _finite(pair[1])
+    return None if lng is None or lat is None else (lng, lat)
 
 
 def near(point: tuple[Column, Column] | None, operand: Any) -> Column:
     """Within a distance: [longitude, latitude, most metres, least metres], both bounds inclusive and optional."""
-    values = _numbers(operand)
-    if point is None or len(values) < 2 or values[0] is None or values[1] is None:
+    parts = operand.split(",") if isinstance(operand, str) else operand
+    if point is None or not isinstance(parts, (list, tuple)) or len(parts) < 2:
+        return F.lit(False)
+    values = [_finite(x) for x in parts]
+    if values[0] is None or values[1] is None:
         return F.lit(False)
     d = distance(*point, (values[0], values[1]))
     tests = [point[0].isNotNull() & point[1].isNotNull()]
@@ -59,36 +75,42 @@ def near(point: tuple[Column, Column] | None, operand: Any) -> Column:
     return reduce(lambda x, y: x & y, tests)
 
 
-def _in_ring(x: Column, y: Column, ring: list) -> Column:
-    """Whether a ray to the right crosses the ring an odd number of times."""
+def _in_ring(x: Column, y: Column, ring: Any) -> Column:
+    """Whether a ray to the right crosses the ring an odd number of times; edges at a vertex that is no point do not count."""
     crossings = []
-    for (x1, y1), (x2, y2) in zip(ring, ring[-1:] + ring[:-1]):
-        if y1 != y2:
-            edge = (x2 - x1) * (y - F.lit(float(y1))) / (y2 - y1) + F.lit(float(x1))
-            crossings.append((((F.lit(float(y1)) > y) != (F.lit(float(y2)) > y)) & (x < edge)).cast("int"))
+    vertices = [position(v) for v in ring] if isinstance(ring, (list, tuple)) else []
+    for a, b in zip(vertices, vertices[-1:] + vertices[:-1]):
+        if a is not None and b is not None and a[1] != b[1]:
+            (x1, y1), (x2, y2) = a, b
+            edge = (x2 - x1) * (y - F.lit(y1)) / (y2 - y1) + F.lit(x1)
+            crossings.append((((F.lit(y1) > y) != (F.lit(y2) > y)) & (x < edge)).cast("int"))
     return (reduce(lambda a, b: a + b, crossings) % 2 == 1) if crossings else F.lit(False)
 
 
 def within(point: tuple[Column, Column] | None, geometry: Any) -> Column:
-    """Inside a GeoJSON Polygon or MultiPolygon: in the first ring of a polygon and in none of the others."""
-    shape = json.loads(geometry) if isinstance(geometry, str) else geometry
-    if point is None or not isinstance(shape, dict) or shape.get("type") not in ("Polygon", "MultiPolygon"):
+    """Inside a GeoJSON Polygon or MultiPolygon: in the first ring of a polygon and in none of the others.
+
+    Anything else, malformed shapes included, holds no point.
+    """
+    if point is None or not isinstance(geometry, dict) or geometry.get("type") not in ("Polygon", "MultiPolygon"):
         return F.lit(False)
-    polygons = shape["coordinates"] if shape["type"] == "MultiPolygon" else [shape["coordinates"]]
+    shape = geometry.get("coordinates")
+    polygons = [shape] if geometry["type"] == "Polygon" else shape
     x, y = point
     tests = []
-    for outline, *holes in (p for p in polygons if p):
-        inside = _in_ring(x, y, [tuple(v[:2]) for v in outline])
-        for hole in holes:
-            inside = inside & ~_in_ring(x, y, [tuple(v[:2]) for v in hole])
+    for rings in polygons if isinstance(polygons, (list, tuple)) else []:
+        if not isinstance(rings, (list, tuple)) or not rings:
+            continue
+        inside = _in_ring(x, y, rings[0])
+        for hole in rings[1:]:
+            inside = inside & ~_in_ring(x, y, hole)
         tests.append(F.coalesce(inside, F.lit(False)))
     return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
 def intersects(point: tuple[Column, Column] | None, geometry: Any) -> Column:
     """A GeoJSON Point is met by an equal point; an area as by `within`."""
-    shape = json.loads(geometry) if isinstance(geometry, str) else geometry
-    if point is not None and isinstance(shape, dict) and shape.get("type") == "Point":
-        x, y = shape["coordinates"][:2]
-        return F.coalesce((point[0] == float(x)) & (point[1] == float(y)), F.lit(False))
-    return within(point, shape)
+    if point is not None and isinstance(geometry, dict) and geometry.get("type") == "Point":
+        other = position(geometry)
+        return F.coalesce((point[0] == other[0]) & (point[1] == other[1]), F.lit(False)) if other else F.lit(False)
+    return within(point, geometry)

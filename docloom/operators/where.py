@@ -69,11 +69,21 @@ def _not(c: Clause) -> Clause:
 def _literal(v: Any) -> Column:
     if isinstance(v, datetime):
         return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    if isinstance(v, int) and not isinstance(v, bool) and not -(1 << 63) <= v < 1 << 63:
+        return F.lit(_double(v))
     return F.lit(v)
 
 
+def _double(v: float) -> float:
+    """A number as a double; one beyond the doubles is infinite."""
+    try:
+        return float(v)
+    except OverflowError:
+        return float("inf") if v > 0 else float("-inf")
+
+
 def _is_number(v: Any) -> bool:
-    return isinstance(v, (int, float)) and not isinstance(v, bool)
+    return isinstance(v, (int, float)) and not isinstance(v, bool) and v == v
 
 
 def _is_time(kind: T.DataType) -> bool:
@@ -94,7 +104,7 @@ def _comparable(x: Column, kind: T.DataType, v: Any) -> tuple[Column, Column] |
     if isinstance(kind, T.BooleanType):
         return (x, F.lit(v)) if isinstance(v, bool) else None
     if isinstance(kind, T.NumericType):
-        return (x, F.lit(v)) if _is_number(v) else None
+        return (x, _literal(v)) if _is_number(v) else None
     if _is_time(kind):
         if isinstance(v, (datetime, date)):
             return x, _literal(instant(v))
@@ -184,7 +194,7 @@ def _json_ordered(x: Column, operator: str, v: Any) -> Clause:
         v = iso(instant(v))
     kind = F.schema_of_variant(x)
     if _is_number(v):
-        return kind.rlike(_JSON_NUMBER) & _ORDER[operator](F.try_variant_get(x, "$", "double"), F.lit(float(v)))
+        return kind.rlike(_JSON_NUMBER) & _ORDER[operator](F.try_variant_get(x, "$", "double"), F.lit(_double(v)))
     if isinstance(v, str):
         return (kind == "STRING") & _ORDER[operator](F.try_variant_get(x, "$", "string"), F.lit(v))
     return _NEVER
@@ -291,7 +301,7 @@ def _any_of(v: _Values, target: Target, wanted: list) -> Clause:
     if target.kind == "value" and not isinstance(target.type, (T.StructType, T.ArrayType)) and not _is_time(target.type):
         plain = [x for x in wanted if x is not None and _comparable(target.column, target.type, x)]
         plain = [iso(instant(x)) if isinstance(x, (datetime, date)) else x for x in plain]
-        found = [target.column.isin(plain)] if plain else []
+        found = [target.column.isin([_literal(x) if _is_number(x) else x for x in plain])] if plain else []
         return _any(found + ([target.column.isNull()] if None in wanted else []))
     return _any([v.equal(x) for x in wanted])
 

@@ -62,6 +62,23 @@ def test_filter(things, where, wanted):
     assert "".join(ids(things, where)) == wanted
 
 
+@pytest.mark.parametrize("where", [
+    {"location": {"within": "oops"}}, {"location": {"within": {"type": "Polygon"}}}, {"location": {"within": {"type": "Polygon", "coordinates": 5}}}, {"location": {"within": {"type": "MultiPolygon", "coordinates": [None, [], [5]]}}},
+    {"location": {"within": {"type": "Polygon", "coordinates": [[None, [1, None], ["x", 2], {}]]}}}, {"location": {"intersects": {"type": "Point", "coordinates": [1]}}}, {"location": {"intersects": {"type": "Point"}}}, {"location": {"intersects": None}},
+    {"location": {"near": 5}}, {"location": {"near": "nan,1,,5"}}, {"location": {"near": "inf,1"}}, {"location": {"near": None}}, {"location": {"near": [True, 1]}}, {"count": {"equals": 10 ** 30}}, {"count": {"greater_than": 10 ** 400}}, {"count": {"in": [10 ** 30]}},
+    {"count": {"less_than": -(10 ** 400)}}, {"count": {"less_than": float("nan")}}])
+def test_operands_that_fit_nothing_match_nothing(things, where):
+    assert things.matching("things", where).count() == 0
+
+
+def test_points_with_a_height_and_operands_beyond_long(spark):
+    e = Engine(spark, [Collection("places", (Field("at", "point"), Field("n", "number")))])
+    e.put("places", spark.createDataFrame([("a", [1.0, 2.0, 300.0], 5.0), ("b", [1.0], 1e300), ("c", None, None)], "id string, at array<double>, n double"))
+    ids = lambda where: [r.id for r in e.matching("places", where).orderBy("id").collect()]
+    assert ids({"at": {"near": [1, 2, 10]}}) == ["a"] and ids({"at": {"intersects": {"type": "Point", "coordinates": ["1", 2, 7]}}}) == ["a"]
+    assert ids({"n": {"greater_than": 10 ** 30}}) == ["b"] and ids({"n": {"less_than": 10 ** 400}}) == ["a", "b"] and e.distinct_df("places", "n", limit=0).count() == 2
+
+
 def test_unknown_operator_names_the_field(things):
     with pytest.raises(QueryError, match="'near_by' on field 'name'.*equals"):
         things.find("things", {"or": [{"and": [{"name": {"near_by": 1}}]}, {"name": {"equals": "x"}}]})
@@ -141,7 +158,7 @@ def test_sort_is_total_and_nulls_come_first(posts):
 
 def test_distinct_and_count(posts):
     found = posts.find_distinct("posts", "rank", sort="-rank")
-    assert [v["rank"] for v in found["values"]] == [3, 2, 1, 0, None] and found["totalDocs"] == 5
+    assert [v["rank"] for v in found["values"]] == [3, 2, 1, 0] and found["totalDocs"] == 4
     assert posts.find_distinct("posts", "rank", {"rank": {"greater_than": 1}}, limit=1)["totalPages"] == 2
     assert posts.find_distinct("posts", "nothing")["values"] == []
     assert posts.count("posts", {"rank": {"exists": True}}) == {"totalDocs": 21}

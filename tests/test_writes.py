@@ -75,9 +75,9 @@ def test_many(engine, spark):
     engine.create_many("posts", spark.createDataFrame([(f"p{k}", f"t{k}", float(k % 3)) for k in range(9)], "id string, title string, rank double"))
     with pytest.raises(ValidationError):
         engine.create_many("posts", spark.createDataFrame([("p1", "again")], "id string, title string"))
-    changed = engine.update_many("posts", {"title": "new", "meta": {"words": 4}}, {"rank": {"greater_than": 0}}, "-rank", 4)
+    changed = list(engine.update_many("posts", {"title": "new", "meta": {"words": 4}}, {"rank": {"greater_than": 0}}, "-rank", 4))
     assert [d["id"] for d in changed] == ["p8", "p5", "p2", "p7"] and {d["title"] for d in changed} == {"new"} and len({d["updatedAt"] for d in changed}) == 1 and changed[0]["meta"] == {"words": 4.0}
-    assert engine.count("posts", {"title": {"equals": "new"}}) == {"totalDocs": 4} and engine.update_many("posts", {"rank": 1}, {"rank": {"equals": 99}}) == []
+    assert engine.count("posts", {"title": {"equals": "new"}}) == {"totalDocs": 4} and list(engine.update_many("posts", {"rank": 1}, {"rank": {"equals": 99}})) == []
     engine.delete_many("posts", {"rank": {"in": "0,1"}})
     assert [d["id"] for d in engine.find("posts")["docs"]] == ["p2", "p5", "p8"]
     assert engine.delete_one("posts", {"title": {"equals": "new"}})["id"] == "p2" and engine.delete_one("posts", {"title": {"equals": "none"}}) is None
@@ -119,11 +119,11 @@ def test_globals(engine):
 def test_jobs(engine):
     for k in range(4):
         engine.create("jobs", {"id": f"j{k}", "queue": "q", "busy": False, "createdAt": f"2024-01-0{k + 1}", "log": [{"message": "made"}]})
-    got = engine.update_jobs({"busy": True, "log": {"$push": {"message": "claimed"}}, "updatedAt": None}, where={"busy": {"equals": False}}, limit=2)
+    got = list(engine.update_jobs({"busy": True, "log": {"$push": {"message": "claimed"}}, "updatedAt": None}, where={"busy": {"equals": False}}, limit=2))
     assert [j["id"] for j in got] == ["j3", "j2"] and [x["message"] for x in got[0]["log"]] == ["made", "claimed"] and got[0]["updatedAt"] > "2024-02"
     assert [j["id"] for j in engine.update_jobs({"busy": True}, where={"busy": {"equals": False}}, sort="createdAt", limit=1)] == ["j0"]
-    assert engine.update_jobs({"log": [{"message": "new"}]}, id="j1")[0]["log"] == [{"message": "new"}] and engine.update_jobs({"log": []}, id="j1")[0]["log"] == [{"message": "new"}]
-    assert engine.update_jobs({"busy": True}, id="none") == [] and engine.update_jobs({"busy": True}, id="j1", returning=False) is None
+    assert next(engine.update_jobs({"log": [{"message": "new"}]}, id="j1"))["log"] == [{"message": "new"}] and next(engine.update_jobs({"log": []}, id="j1"))["log"] == [{"message": "new"}]
+    assert list(engine.update_jobs({"busy": True}, id="none")) == [] and engine.update_jobs({"busy": True}, id="j1", returning=False) is None
 
 
 # ------------------------------------------------------------------ concurrency and storage
@@ -143,6 +143,48 @@ def test_only_one_of_two_commits_wins(spark, tmp_path):
     assert a.state(a.version())["deltas"] == [] and sorted(tuple(r) for r in b.read().collect()) == [("x", 4), ("z", 1)]
 
 
+def test_a_torn_entry_is_no_commit(spark, tmp_path):
+    kind = spark.createDataFrame([], "k string, v bigint").schema
+    a = Store(spark, f"file://{tmp_path}/s", kind, "k")
+    a.change(spark.createDataFrame([("x", 1)], kind), None, 0)
+    (tmp_path / "s/_log/000000000002.json").write_bytes(b"")
+    assert a.version() == 2 and [tuple(r) for r in a.read().collect()] == [("x", 1)]
+    a.change(spark.createDataFrame([("y", 2)], kind), None, a.version())
+    assert sorted(tuple(r) for r in a.read().collect()) == [("x", 1), ("y", 2)]
+
+
+def test_other_failures_are_no_conflict(spark, tmp_path, monkeypatch):
+    kind = spark.createDataFrame([], "k string, v bigint").schema
+    a = Store(spark, f"file://{tmp_path}/s", kind, "k")
+    monkeypatch.setattr("docloom.sources.tables.os.link", lambda *_: (_ for _ in ()).throw(PermissionError("no")))
+    with pytest.raises(PermissionError):
+        a.change(spark.createDataFrame([("x", 1)], kind), None, 0)
+    assert a.version() == 0 and not [p for p in (tmp_path / "s/_log").iterdir() if "draft" in p.name and not p.name.endswith(".crc")]
+
+
+def test_two_first_writers(spark, tmp_path):
+    frame = spark.createDataFrame([(1, 1.0)], "key bigint, v double")
+    engines = [Engine(spark, [NUMBERS], root=f"file://{tmp_path}").put("numbers", frame) for _ in range(2)]
+    threads = [threading.Thread(target=e.create, args=("numbers", {"v": k}, 10 + k)) for k, e in enumerate(engines)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert [d["key"] for d in engines[0].find("numbers")["docs"]] == [1, 10, 11]
+
+
+def test_writers_do_not_compact_and_clean_removes_what_is_not_named(spark, tmp_path):
+    e = Engine(spark, [NUMBERS], root=f"file://{tmp_path}")
+    for k in range(5):
+        e.upsert("numbers", {"key": 1, "v": k}, {"id": {"equals": 1}})
+    store = e._store("numbers")
+    assert len(store.state(store.version())["deltas"]) == 5
+    e.compact("numbers", deltas_only=True)
+    assert len(store.state(store.version())["deltas"]) == 1
+    e.compact("numbers")
+    e.clean("numbers", keep=1, older_than=0)
+    assert [p.name[:5] for p in (tmp_path / "numbers").iterdir() if not p.name.startswith("_")] == ["base-"] and len(store._numbers()) == 1
+    assert e.find("numbers")["docs"][0]["v"] == 4.0
+
+
 def test_concurrent_writers_converge(engine):
     engine.create("numbers", {"v": 0}, custom_id=1)
     errors = []
