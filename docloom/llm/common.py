@@ -24,10 +24,13 @@ CHUNK_BYTES = 512 << 10
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which the driver and all executors see.
 
-    Only where the session names none (tests on one machine) is a folder of our own taken and recorded.
+    Only on one machine (a local master, as in tests) may the session name none: then a folder of our own is taken and
+    recorded. On a cluster that raises ValueError.
     """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         top = "file:///tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/docloom-{name}-{uuid.uuid4().hex}"
@@ -143,6 +146,20 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=U)
 
 
+def unquoted(raw: np.ndarray) -> np.ndarray:
+    """The bytes with punctuation beyond ASCII blanked: U+00A0 to U+00BF but letters and digits, U+2000 to U+206F, U+3000 to U+303F."""
+    if not len(raw) or raw.max() < 0xC2:
+        return raw
+    out = raw.copy()
+    one = np.append(raw[1:], np.uint8(0))
+    two = np.append(raw[2:], np.zeros(2, np.uint8))[:len(raw)]
+    at = np.flatnonzero((raw == 0xC2) & (one >= 0xA0) & (one <= 0xBF) & ~np.isin(one, (0xAA, 0xB2, 0xB3, 0xB5, 0xB9, 0xBA)))
+    out[at], out[at + 1] = 0x20, 0x20
+    at = np.flatnonzero(((raw == 0xE2) & ((one == 0x80) | ((one == 0x81) & (two <= 0xAF)))) | ((raw == 0xE3) & (one == 0x80)))
+    out[at], out[at + 1], out[at + 2] = 0x20, 0x20, 0x20
+    return out
+
+
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of some texts: byte ranges, the row of each, and row boundaries."""
 

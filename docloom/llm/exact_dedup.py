@@ -5,8 +5,9 @@ Equal texts are found in three stages, and each compares the full normalised tex
 2. groups of (digest, salt, text) are merged, so that a text that a third of all rows hold is spread over
    `salts` reducers and reaches each as one row for a task;
 3. the salt winners of a text are merged into its global winner.
-Rows learn their winner by a join on the 256-bit digest, the length and a second hash; the hot digests of that
-join are split by adaptive execution.
+Rows learn their winner by a join on the 256-bit digest and the salt, so that no key of that join holds more than one
+`salts`-th of a group. That a digest stands for one text only is not taken for granted: the third stage counts the texts
+of each digest and fails if there are two.
 """
 
 from __future__ import annotations
@@ -23,13 +24,33 @@ def normalised(text):
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RUN, " ")
 
 
+def _fresh(name: str, taken: list[str]) -> str:
+    """A column name that no caller's column has, whatever its case."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
+def _digest(text):
+    return F.unhex(F.sha2(text, 256))
+
+
 def winners(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
-    """One row for each distinct normalised text: _sha (hex), _size, _mark, keep_id and group_size."""
-    rows = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text"))
-    rows = rows.select("_id", "_text", F.sha2("_text", 256).alias("_sha"), F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int").alias("_salt"))
+    """(_sha, _salt, keep_id, group_size) of each distinct normalised text and each salt that a row of it has."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), normalised(F.col(f"`{text_col}`")).alias("_text"))
+    rows = rows.select("_id", "_text", _digest(F.col("_text")).alias("_sha"), _salt(F.col("_id"), salts).alias("_salt"))
     salted = rows.groupBy("_sha", "_salt", "_text").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_n"))
-    whole = salted.groupBy("_sha", "_text").agg(F.min("_id").alias("keep_id"), F.sum("_n").alias("group_size"))
-    return whole.select("_sha", F.octet_length("_text").alias("_size"), F.xxhash64("_text").alias("_mark"), "keep_id", "group_size")
+    whole = salted.repartition("_sha").groupBy("_sha", "_text").agg(F.min("_id").alias("keep_id"), F.sum("_n").alias("group_size"))
+    one = whole.groupBy("_sha").agg(F.count(F.lit(1)).alias("_texts"), F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"))
+    sure = one.select("_sha", "keep_id", F.when(F.col("_texts") > 1, F.raise_error(F.lit("two texts have one digest")).cast("bigint")).otherwise(F.col("group_size")).alias("group_size"))
+    # reads all that `salted` holds, so that its rows are made and sent once for both uses
+    used = salted.filter("_n > 0 or _id is null").select("_sha", "_salt")
+    return used.join(sure, "_sha")
+
+
+def _salt(id_, salts: int):
+    return F.pmod(F.xxhash64(id_), F.lit(salts)).cast("int")
 
 
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
@@ -38,13 +59,15 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     Texts are equal when they are identical after each run of `[\\x20\\x09-\\x0D]` became one space; null counts as
     empty, and empty texts are equal to each other. Of equal texts the smallest id stays. A null id is larger than
     any other: such a row stays only if no row of its group has an id (keep_id is null then). Rows that repeat an id
-    and a text are alike, so all of them are marked as kept. An empty table gives an empty result.
+    and a text are alike, so all of them are marked as kept. An empty table gives an empty result. Very long texts are
+    compared whole.
     """
-    own = docs.drop("keep_id", "group_size", "kept", "text_sha256", "_sha", "_size", "_mark")
-    text = normalised(F.col(text_col))
-    keyed = own.withColumns({"_sha": F.sha2(text, 256), "_size": F.octet_length(text), "_mark": F.xxhash64(text)})
-    joined = keyed.join(winners(docs, id_col=id_col, text_col=text_col, salts=salts), ["_sha", "_size", "_mark"], "left")
-    return joined.withColumns({"kept": F.col(id_col).eqNullSafe(F.col("keep_id")), "text_sha256": F.col("_sha")}).drop("_sha", "_size", "_mark")
+    own = docs.drop("keep_id", "group_size", "kept", "text_sha256")
+    sha, salt = _fresh("_sha", own.columns), _fresh("_salt", own.columns)
+    keyed = own.withColumns({sha: _digest(normalised(F.col(f"`{text_col}`"))), salt: _salt(F.col(f"`{id_col}`"), salts)})
+    best = winners(docs, id_col=id_col, text_col=text_col, salts=salts).withColumnsRenamed({"_sha": sha, "_salt": salt})
+    joined = keyed.join(best, [sha, salt], "left")
+    return joined.withColumns({"kept": F.col(f"`{id_col}`").eqNullSafe(F.col("keep_id")), "text_sha256": F.lower(F.hex(sha))}).drop(sha, salt)
 
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:

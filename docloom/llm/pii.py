@@ -1,8 +1,9 @@
 """Personal data by anchor expansion.
 
-One pass of an Aho-Corasick automaton over each text finds anchors: at-signs, plus signs, digits, schemes and
-identifier cues. Deterministic parsers expand around an anchor to the left and right, decide where the item ends and
-validate it (octets, Luhn, digit counts, IBAN's mod 97). Nothing else of the text is looked at in Python.
+One pass of an Aho-Corasick automaton over each text finds anchors: at-signs, plus signs, schemes and identifier cues;
+runs of digits are anchors too. Deterministic parsers expand around an anchor to the left and right, decide where the item ends and
+validate it (octets, Luhn, digit counts, IBAN's mod 97). Nothing else of the text is looked at in Python, and no stretch
+of a text is scanned again for each anchor in it.
 
 Kinds `email`, `ip`, `card` and `phone` are the base; `iban`, `secret` and `url` are added by this method.
 """
@@ -36,7 +37,8 @@ _DIGITS = re.compile(r"[0-9]+")
 _URL = re.compile(r"[^\x00-\x20\"'<>\\^`{|}\x7f]+")
 _SECRET = re.compile(r"(?:password|passwd|secret|token|api_key)\x20?[=:]\x20?[\"']?[A-Za-z0-9_/+.-]{8,}|AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|xoxb-[A-Za-z0-9-]{20,}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|-----BEGIN [A-Z ]*PRIVATE KEY-----")
 _IBAN = re.compile(r"[\x20:]{1,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
-_ANCHOR = {"@": 1, "+": 2} | {d: 3 for d in "0123456789"} | {s: 4 for s in SCHEMES} | {s: 5 for s in SECRET_CUES} | {s: 6 for s in IBAN_CUES}
+_TOKEN = re.compile(r"[A-Za-z0-9_-]+")
+_ANCHOR = {"@": 1, "+": 2} | {s: 4 for s in SCHEMES} | {s: 5 for s in SECRET_CUES} | {s: 6 for s in IBAN_CUES}
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -66,24 +68,21 @@ def find(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int]
     its validation is dropped, but the search goes on behind it.
     """
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in BASE_KINDS + MORE_KINDS}
-    mail_end = ip_end = card_end = run_end = url_end = secret_end = 0
+    mail_end = ip_end = card_end = url_end = secret_end = jwt_end = 0
+    for run in _DIGITS.finditer(text):
+        start, end = run.span()
+        if start >= ip_end and text.startswith(".", end) and (m := _IP.match(text, start)):
+            ip_end = m.end()
+            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+                found["ip"].append(m.span())
+        if start >= card_end and (m := _CARD.match(text, start)):
+            card_end = m.end()
+            digits = m.group().replace(" ", "").replace("-", "")
+            if 16 <= len(digits) <= 19 and luhn(digits):
+                found["card"].append(m.span())
     for at, (kind, size) in anchors.iter(text):
         start = at - size + 1
-        if kind == 3:
-            if start < run_end:
-                continue
-            # a digit run begins here (or goes on behind an item that ended within none)
-            run_end = _DIGITS.match(text, start).end()
-            if start >= ip_end and text.startswith(".", run_end) and (m := _IP.match(text, start)):
-                ip_end = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
-                    found["ip"].append(m.span())
-            if start >= card_end and (m := _CARD.match(text, start)):
-                card_end = m.end()
-                digits = m.group().replace(" ", "").replace("-", "")
-                if 16 <= len(digits) <= 19 and luhn(digits):
-                    found["card"].append(m.span())
-        elif kind == 1:
+        if kind == 1:
             left = start
             while left > mail_end and text[left - 1] in _LOCAL:
                 left -= 1
@@ -100,9 +99,14 @@ def find(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int]
                 if url_end > at + 1:
                     found["url"].append((start, url_end))
         elif kind == 5:
-            if start >= secret_end and (m := _SECRET.match(text, start)):
+            if start < secret_end or start < jwt_end and text.startswith("eyJ", start):
+                continue
+            if m := _SECRET.match(text, start):
                 secret_end = m.end()
                 found["secret"].append(m.span())
+            elif text.startswith("eyJ", start):
+                # what follows the run of token characters decides, for every cue of this kind in it alike
+                jwt_end = _TOKEN.match(text, start).end()
         elif m := _IBAN.match(text, at + 1):
             end = m.end(1)
             while end - m.start(1) >= 15 and not iban_valid(text[m.start(1):end]):

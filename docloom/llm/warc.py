@@ -41,12 +41,12 @@ def _clean(value: str) -> str:
     return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record_bytes(kind: str, url: str, payload: bytes, more: dict[str, str]) -> bytes:
+def record_bytes(kind: str, url: str | None, payload: bytes, more: dict[str, str | None]) -> bytes:
     """One record as a gzip member."""
     body = b"" if kind == "revisit" else payload
-    head = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": DATE, "WARC-Target-URI": _clean(url), **more,
+    head = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": DATE, "WARC-Target-URI": None if url is None else _clean(url), **more,
             "Content-Type": "text/html; charset=utf-8" if kind != "warcinfo" else "application/warc-fields", "Content-Length": str(len(body))}
-    text = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items() if v != "") + "\r\n"
+    text = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items() if v is not None) + "\r\n"
     pack = zlib.compressobj(1, zlib.DEFLATED, 31)
     return pack.compress(text.encode() + body + b"\r\n\r\n") + pack.flush()
 
@@ -65,20 +65,25 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:size]
 
 
-def revisit_plan(pages: DataFrame, *, id_col: str, payload_col: str, min_bytes: int) -> DataFrame:
-    """_id, _key, _refers for records that repeat another's payload: the largest id of equal payloads is the response.
+#: Salts over which the rows of one payload are spread.
+SALTS = 16
 
-    Only groups with more than one id get rows. Partial aggregation combines copies before the shuffle.
+
+def revisit_plan(pages: DataFrame, *, salts: int = SALTS) -> DataFrame:
+    """(_key, _salt, _refers) of payloads that several ids have; _refers is the largest of those ids. pages: _id, _key, _salt.
+
+    Copies are combined by salt before they meet, and the plan has a row for each salt: no key holds a whole group.
     """
-    keyed = pages.select(F.col(id_col).alias("_id"), F.col(payload_col).alias("_p")).filter(F.octet_length("_p") >= min_bytes).select("_id", F.sha2("_p", 256).alias("_key"))
-    groups = keyed.groupBy("_key").agg(F.max("_id").alias("_refers"), F.min("_id").alias("_least")).filter("_refers > _least").select("_key", "_refers")
-    return groups
+    salted = pages.groupBy("_key", "_salt").agg(F.max("_id").alias("_most"), F.min("_id").alias("_least"))
+    groups = salted.groupBy("_key").agg(F.max("_most").alias("_refers"), F.min("_least").alias("_first")).filter("_refers > _first").select("_key", "_refers")
+    return salted.filter("_most is not null or _least is null").select("_key", "_salt").join(groups, "_key")
 
 
 def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
     """Write archives into `folder` (a URI all executors see) and return the index, already written there as Parquet.
 
-    A null payload is empty, a null URL is left out of the header. Of payloads of at least `min_bytes` that are equal,
+    A null payload is empty, a null URL is left out of the header (an empty one is not). Payloads are equal when their
+    SHA-256 digests are. Of payloads of at least `min_bytes` that are equal,
     the record with the largest id is a response and the others are revisits without a body; smaller payloads are all
     responses. Rows that repeat an id and a payload have the same type. A null id is smaller than any other and is
     never referred to; if all ids of a group are null, all are responses. Columns other than the three are not read;
@@ -87,10 +92,12 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
     arrow_rows(pages.sparkSession, 1000)
     spark = pages.sparkSession
     id_type = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.coalesce(F.col(payload_col), F.lit("")).alias("_p"))
-    plan = revisit_plan(rows.select("_id", "_p"), id_col="_id", payload_col="_p", min_bytes=min_bytes)
-    keyed = rows.withColumn("_key", F.when(F.octet_length("_p") >= min_bytes, F.sha2("_p", 256)))
-    joined = keyed.join(plan, "_key", "left").select("_id", "_url", F.col("_p").cast("binary"), F.when(F.col("_id").isNull() | (F.col("_id") < F.col("_refers")), F.col("_refers")).alias("_refers"))
+    rows = pages.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").alias("_url"), F.coalesce(F.col(f"`{payload_col}`"), F.lit("")).alias("_p"))
+    # a payload below min_bytes is its own key, so that small ones do not meet
+    small = F.concat(F.lit("-"), F.xxhash64("_id", "_url").cast("string"))
+    keyed = rows.withColumns({"_key": F.when(F.octet_length("_p") >= min_bytes, F.sha2("_p", 256)).otherwise(small), "_salt": F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS)).cast("int")})
+    plan = revisit_plan(keyed.filter(F.octet_length("_p") >= min_bytes).select("_id", "_key", "_salt"))
+    joined = keyed.join(plan, ["_key", "_salt"], "left").select("_id", "_url", F.col("_p").cast("binary"), F.when(F.col("_id").isNull() | (F.col("_id") < F.col("_refers")), F.col("_refers")).alias("_refers"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = pafs.FileSystem.from_uri(folder)
@@ -102,14 +109,14 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
             for page, url, payload, refers in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     out = fs.open_output_stream(name, compression=None)
-                    head = record_bytes("warcinfo", "", b"software: docloom\r\n", {})
+                    head = record_bytes("warcinfo", None, b"software: docloom\r\n", {})
                     out.write(head)
                     at += len(head)
                 kind, digest = "response" if refers is None else "revisit", base32_sha1(payload)
-                more = {"WARC-Payload-Digest": f"sha1:{digest}", "X-Payload-Length": str(len(payload)), "X-Page-Id": "" if page is None else str(page)}
+                more = {"WARC-Payload-Digest": f"sha1:{digest}", "X-Payload-Length": str(len(payload)), "X-Page-Id": None if page is None else str(page)}
                 if kind == "revisit":
                     more |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "X-Refers-To-Page-Id": str(refers)}
-                data = record_bytes(kind, url or "", payload, more)
+                data = record_bytes(kind, url, payload, more)
                 out.write(data)
                 for column, value in zip(index, (page, url, kind, digest, name.rpartition("/")[2], at, len(data))):
                     column.append(value)
