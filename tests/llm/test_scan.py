@@ -57,26 +57,32 @@ def test_pii_frames(spark):
 def test_masks_find_every_window_with_three_substitutions():
     n = decontaminate.MIN_WORDS
     for wrong in itertools.combinations(range(n), 3):
-        assert any(all(o + p not in wrong for p in mask) for mask in decontaminate.MASKS[:3] for o in range(n - mask[-1]))
+        assert any(all(o + p not in wrong for p in mask) for mask in decontaminate.LONG for o in range(n - mask[-1]))
+
+
+def test_pieces_find_every_short_item_with_its_substitutions():
+    for n in range(1, decontaminate.MIN_WORDS):
+        words = [f"w{k}" for k in range(n)]
+        t = decontaminate.prepare([0], [" ".join(words)])
+        for wrong in itertools.combinations(range(n), decontaminate.allowed(n)):
+            text = " ".join(["a", "b", *("other" if k in wrong else x for k, x in enumerate(words)), "c"])
+            assert [x[1:] for x in decontaminate._scan(pa.array([text]), t)] == [(0, 2, 0, n, n - len(wrong))]
 
 
 def overlap_truth(text, item):
-    """Whether some diagonal has a stretch of 13 words with at most three substituted ones, or the whole short item."""
+    """Whether some diagonal has a stretch of 13 words with at most three substituted ones, or the whole short item, in proportion."""
     def plain(t):
-        return re.sub("[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", " ", (t or "").lower()).split()
+        return re.sub("[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f\u2000-\u206f]", " ", (t or "").lower()).split()
     a, b = plain(text), plain(item)
     size = min(13, len(b))
-    if len(b) < decontaminate.LEAST_WORDS:
-        return False
-    allowed = 3 if len(b) >= 13 else 0
-    return any(sum(a[p + k] != b[q + k] for k in range(size)) <= allowed for p in range(len(a) - size + 1) for q in range(len(b) - size + 1))
+    return size > 0 and any(sum(a[p + k] != b[q + k] for k in range(size)) <= 3 * size // 13 for p in range(len(a) - size + 1) for q in range(len(b) - size + 1))
 
 
-def test_overlaps(spark):
+def test_overlaps(spark, monkeypatch):
     import random
 
     rng = random.Random(8)
-    items = [(k, " ".join(f"t{k}x{j}" for j in range(rng.choice([4, 6, 9, 13, 20, 45])))) for k in range(25)] + [(90, None), (91, ""), (92, "zu kurz")]
+    items = [(k, " ".join(f"t{k}x{j}" for j in range(rng.choice([1, 2, 4, 6, 9, 13, 20, 45])))) for k in range(25)] + [(90, None), (91, ""), (92, "zu kurz")]
     rows = []
     for i in range(60):
         w = [f"d{rng.randint(0, 500)}" for _ in range(rng.randint(0, 60))]
@@ -85,29 +91,30 @@ def test_overlaps(spark):
             for _ in range(rng.choice([0, 0, 1, 2])):
                 own[rng.randrange(len(own))] = "other"
             at = rng.randint(0, len(w))
-            w[at:at] = [x.upper() + "," if rng.random() < 0.3 else x for x in own]
+            w[at:at] = [rng.choice([x, x.upper() + ",", f"\u201c{x}\u201d", f"\u2014{x}"]) for x in own]
         rows.append((i, " ".join(w), None, None, None))
     rows += [(100, None, None, None, None), (101, "", None, None, None)]
     tests = spark.createDataFrame(items, "item_id bigint, text string")
-    got = {(r.doc_id, r.item_id): r for r in decontaminate.best_overlaps(frame(spark, rows), tests).collect()}
-    for i, t, *_ in rows:
-        for k, item in items:
-            if overlap_truth(t, item):
-                assert (i, k) in got, (t, item)
-    assert all(r.n_words >= 13 and r.n_equal >= 10 or r.n_equal == r.n_words == r.item_words for r in got.values())
-    assert {x for x in got} == {(i, k) for i, t, *_ in rows for k, item in items if overlap_truth(t, item)}
-    clean = {r.doc_id for r in decontaminate.drop_contaminated(frame(spark, rows), tests).collect()}
-    assert clean == {i for i, *_ in rows} - {i for i, _ in got} and {100, 101} <= clean
-    none = tests.filter("false")
-    assert decontaminate.find_overlaps(frame(spark, rows), none).count() == 0 and decontaminate.drop_contaminated(frame(spark, rows), none).count() == len(rows)
-
-
-def test_blocks_of_tests_give_the_same(spark, monkeypatch):
-    items = spark.createDataFrame([(k, " ".join(f"b{k}y{j}" for j in range(20))) for k in range(9)], "item_id bigint, text string")
-    docs = frame(spark, [(k, f"before b{k} " + " ".join(f"b{k}y{j}" for j in range(20)), None, None, None) for k in range(9)])
-    whole = sorted(tuple(r) for r in decontaminate.best_overlaps(docs, items).collect())
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
-    assert sorted(tuple(r) for r in decontaminate.best_overlaps(docs, items).collect()) == whole and len(whole) == 9
+    true = {(i, k) for i, t, *_ in rows for k, item in items if overlap_truth(t, item)}
+    for block in (decontaminate.BLOCK_BYTES, 10):  # broadcast as a whole, then joined by seed
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        got = {(r.doc_id, r.item_id): r for r in decontaminate.best_overlaps(frame(spark, rows), tests).collect()}
+        assert got.keys() == true and len({r.n_words for r in got.values()}) > 4
+        clean = {r.doc_id for r in decontaminate.drop_contaminated(frame(spark, rows), tests).collect()}
+        assert clean == {i for i, *_ in rows} - {i for i, _ in got} and {100, 101} <= clean
+        none = tests.filter("false")
+        assert decontaminate.find_overlaps(frame(spark, rows), none).count() == 0 and decontaminate.drop_contaminated(frame(spark, rows), none).count() == len(rows)
+        assert decontaminate.find_overlaps(frame(spark, rows).filter("false"), tests).count() == 0
+
+
+def test_every_part_of_an_item_is_an_overlap_and_ids_may_repeat_or_lack(spark, monkeypatch):
+    item = [f"w{k}" for k in range(60)]
+    text = " ".join([*item[:15], *(f"x{k}" for k in range(21)), *item[36:]])
+    docs = frame(spark, [(1, text, None, None, None), (1, text, None, None, None), (None, text, None, None, None)])
+    for block in (decontaminate.BLOCK_BYTES, 10):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        got = sorted((r.doc_id or 0, r.doc_id_item, r.doc_start, r.item_start, r.n_words) for r in decontaminate.find_overlaps(docs, spark.createDataFrame([(7, " ".join(item))], "doc_id bigint, text string"), item_col="doc_id").withColumnRenamed("item_doc_id", "doc_id_item").collect())
+        assert got == sorted([(i, 7, 0, 0, 18) for i in (0, 1, 1)] + [(i, 7, 33, 33, 27) for i in (0, 1, 1)])
 
 
 # ------------------------------------------------------------------ archives
