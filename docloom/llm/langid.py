@@ -4,7 +4,7 @@ One model for each language, up to `ORDER` characters. The models of all languag
 hashes: `keys` with a column of discounted probabilities for each language, and `contexts` with a column of
 interpolation weights. A text is given to the language with the lowest cross-entropy for each character; how far the
 entropies lie apart, on a temperature calibrated on other texts than those counted, gives the score, and an entropy
-above a calibrated bound means that no learned language fits. All letters of the counted texts are learned; only beyond
+above a bound calibrated there means that no learned language fits (of a sample so small that no text is left for it, the counted ones calibrate). All letters of the counted texts are learned; only beyond
 65,534 distinct ones, more than the Basic Multilingual Plane has, would the rarest share one symbol.
 """
 
@@ -115,10 +115,13 @@ class Models:
 
     def decide(self, h: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(language number, score, fits): the score is the calibrated probability of that language."""
-        best = np.argmin(h, 1)
-        gap = (h - h.min(1, keepdims=True)) * np.minimum(size, 400)[:, None] * self.temperature
-        p = np.exp2(-np.minimum(gap, 200))
-        return best, 1 / p.sum(1), h.min(1) <= self.bound
+        return np.argmin(h, 1), 1 / _odds(h, size, self.temperature).sum(1), h.min(1) <= self.bound
+
+
+def _odds(h: np.ndarray, size: np.ndarray, temperature: float) -> np.ndarray:
+    """Of each language, how likely it is beside the best one: symbols of one text are not independent, hence the root."""
+    gap = (h - h.min(1, keepdims=True)) * np.sqrt(size)[:, None] * temperature
+    return np.exp2(-np.minimum(gap, 200))
 
 
 def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
@@ -133,10 +136,10 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: f
 def fit(sample: list[tuple[str, str]]) -> Models:
     """Models from (language, text) pairs: four fifths of the texts are counted, the others calibrate."""
     languages = sorted({lang for lang, _ in sample})
-    # a language with few texts has all of them counted, and calibrates with them too
-    few = {lang for lang in languages if sum(x[0] == lang for x in sample) < 20}
-    counted = [x for x in sample if x[0] in few or split_of(x[1])]
-    other = [x for x in sample if x[0] in few or not split_of(x[1])] or sample
+    split = {lang: [t for la, t in sample if la == lang and split_of(t)] for lang in languages}
+    # texts are counted or calibrate, never both; a language whose texts would all calibrate has them counted instead
+    counted = [(la, t) for la, t in sample if split_of(t) or not split[la]]
+    other = [(la, t) for la, t in sample if not split_of(t) and split[la]] or counted
     seen = np.zeros(0x110000, np.int64)
     for _, text in counted:
         c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
@@ -165,13 +168,12 @@ def fit(sample: list[tuple[str, str]]) -> Models:
             values[np.searchsorted(keys, h), k] = v
         arrays += [keys, values]
     m.keys, m.direct, m.contexts, m.weight = arrays
-    if len(languages):
+    if other:
         h, size, _ = m.entropies([t for _, t in other], table)
         truth = np.array([languages.index(la) for la, _ in other])
         losses = {}
-        for t in (0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0):
-            m.temperature = t
-            p = np.exp2(-np.minimum((h - h.min(1, keepdims=True)) * np.minimum(size, 400)[:, None] * t, 200))
+        for t in (0.02, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0):
+            p = _odds(h, size, t)
             losses[t] = -np.log(np.maximum(p[np.arange(len(p)), truth] / p.sum(1), 1e-12)).mean()
         m.temperature = min(losses, key=losses.get)
         m.bound = float(np.quantile(h.min(1), 0.995) * 1.15)

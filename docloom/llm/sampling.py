@@ -24,14 +24,14 @@ def bounded_sample(labelled: DataFrame, docs: DataFrame, *, id_col: str = "doc_i
     `classes` labels raise ValueError. No labels give an empty sample.
     """
     rows = labelled.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).dropna().withColumn("_h", F.pmod(F.xxhash64("_id"), F.lit(1 << 40)))
-    counts = rows.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).limit(classes + 1).collect()
+    counts = rows.groupBy("_label").agg(F.approx_count_distinct("_id", 0.03).alias("n")).limit(classes + 1).collect()
     if len(counts) > classes:
         raise ValueError(f"more than {classes} different labels")
     if not counts:
         return []
     # of each class about as many ids as wanted and a margin that chance does not use up; then exactly the least hashes
-    margin = per_class + 6 * per_class ** 0.5 + 20
-    near = reduce(lambda a, b: a | b, ((F.col("_label") == F.lit(r["_label"])) & (F.col("_h") < int(min(1.0, margin / r["n"]) * (1 << 40))) for r in counts))
+    margin = 1.2 * per_class + 6 * per_class ** 0.5 + 20
+    near = reduce(lambda a, b: a | b, ((F.col("_label") == F.lit(r["_label"])) & (F.col("_h") < int(min(1.0, margin / max(r["n"], 1)) * (1 << 40))) for r in counts))
     by_hash = Window.partitionBy("_label").orderBy("_h", "_id")
     picked = rows.filter(near).distinct().withColumn("_r", F.row_number().over(by_hash)).filter(F.col("_r") <= per_class).drop("_r")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.octet_length(text_col).alias("_n")).filter(F.col("_n") <= class_bytes)

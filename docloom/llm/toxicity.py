@@ -2,8 +2,9 @@
 
 A text's severity grade is one of 0 (none) to 3. One weight vector over sparse features (words and word beginnings,
 log counts) is shared by all thresholds: P(grade <= k) = sigmoid(theta_k - w x), theta ascending. The result is the
-expected severity. Labels are yes or no; toxic training texts get grades 1 to 3 by the tercile of how many of their
-words are typical of toxic texts.
+expected severity. Labels are yes or no, so grades are made: a toxic training text gets 1 to 3 by the tercile of how many of
+its words are typical of toxic texts. Severity is thus an amount, not a density: a longer text with as dense a share of such
+words is the more severe. (Shares of words, or of the densest stretch, told toxic from clean texts worse.)
 """
 
 from __future__ import annotations
@@ -17,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Words, arrow_rows, chunks, lean, mix, text_buffers, trim
+from .common import U, Words, arrow_rows, chunks, lean, mix, text_buffers, trim, unquoted
 from .sampling import bounded_sample, split_of
 
 GRADES = 4
-#: Most features that the model keeps, by how far they tell the classes apart.
-FEATURES = 2000
+#: How far a feature must tell the classes apart, as a multiple of what chance gives the best of so many features.
+CHANCE = 1.0
 #: A feature needs this many training texts.
 LEAST = 4
 #: Bytes at the beginning of a word that are features of their own.
@@ -35,7 +36,7 @@ _EDGE[[c for c in range(128) if not chr(c).isalnum()]] = True
 
 def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature hash, count) of each distinct feature of each text, sorted by row."""
-    w = Words(raw, offsets, lower=True, space=_EDGE)
+    w = Words(unquoted(raw), offsets, lower=True, space=_EDGE)
     h, size = w.hashes(11), w.end - w.start
     rows = w.rows
     padded = np.zeros(len(w.raw) + 16, np.uint8)
@@ -79,7 +80,16 @@ class Model:
         return np.diff(np.concatenate([np.zeros((len(score), 1)), upto, np.ones((len(score), 1))], 1), axis=1)
 
 
-def fit(sample: list[tuple[int, str]], *, steps: int = 400, l2: float = 1e-4, chance: float = 0.5) -> Model:
+def objective(w: np.ndarray, theta: np.ndarray, r: np.ndarray, j: np.ndarray, x: np.ndarray, grade: np.ndarray, share: np.ndarray, l2: float) -> tuple[float, np.ndarray]:
+    """Loss and gradient (weights, then thresholds) of the cumulative logits over sparse features (r, j, x)."""
+    z = np.clip(theta[None, :] - np.bincount(r, x * w[j], len(grade))[:, None], -50, 50)
+    upto = grade[:, None] <= np.arange(len(theta))[None, :]
+    loss = (np.log1p(np.exp(np.where(upto, -z, z))) * share[:, None]).sum() + l2 / 2 * (w * w).sum()
+    g = (1 / (1 + np.exp(-z)) - upto) * share[:, None]
+    return float(loss), np.concatenate([np.bincount(j, x * (-g.sum(1))[r], len(w)) + l2 * w, g.sum(0)])
+
+
+def fit(sample: list[tuple[int, str]], *, steps: int = 400, l2: float = 1e-4, chance: float = CHANCE) -> Model:
     """A model from (0 or 1, text) pairs. With one class only, no text is toxic (or, if all are, every text)."""
     y = np.array([int(label) for label, _ in sample])
     if len(set(y.tolist())) < 2:
@@ -114,8 +124,7 @@ def fit(sample: list[tuple[int, str]], *, steps: int = 400, l2: float = 1e-4, ch
     ones, zeros = y.sum(), (1 - y).sum()
     lean = (df1 / ones - df0 / zeros) / np.sqrt(np.maximum(df1 + df0, 1) / (1.0 * ones * zeros))
     strength = np.abs(lean)
-    kept = np.sort(np.argsort(-strength, kind="stable")[:FEATURES])
-    kept = kept[strength[kept] > chance * np.sqrt(2 * np.log(max(len(keys), 2)))]
+    kept = np.flatnonzero(strength > chance * np.sqrt(2 * np.log(max(len(keys), 2))))
     slot = np.full(len(keys), -1)
     slot[kept] = np.arange(len(kept))
     use = slot[j] >= 0
@@ -129,13 +138,8 @@ def fit(sample: list[tuple[int, str]], *, steps: int = 400, l2: float = 1e-4, ch
     w, theta = np.zeros(len(kept)), np.array([1.0, 2.0, 3.0])
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     state = [np.zeros(len(w) + 3), np.zeros(len(w) + 3)]
-    k = np.arange(GRADES - 1)
     for step in range(1, steps + 1):
-        s = np.bincount(r, x * w[j], len(y))
-        z = np.clip(theta[None, :] - s[:, None], -50, 50)
-        above = grade[:, None] > k[None, :]
-        g = (1 / (1 + np.exp(-z)) - ~above) * share[:, None]  # d loss / d z of the cumulative logits
-        grad = np.concatenate([np.bincount(j, x * (-g.sum(1))[r], len(w)) + l2 * w, g.sum(0)])
+        _, grad = objective(w, theta, r, j, x, grade, share, l2)
         state[0] = 0.9 * state[0] + 0.1 * grad
         state[1] = 0.99 * state[1] + 0.01 * grad ** 2
         move = 0.05 * (state[0] / (1 - 0.9 ** step)) / (np.sqrt(state[1] / (1 - 0.99 ** step)) + 1e-8)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docloom.llm import langid, quality, toxicity
@@ -56,7 +57,8 @@ def plain_kn(texts, order, alphabet):
 def test_language_models_against_dictionaries():
     texts = ["the cat sat on the mat", "a cat and the hat", "that is the bat", "über dem hut"]
     m = langid.fit([("x", t) for t in texts] + [("y", "zzz yyy zzz")])
-    counted = texts
+    counted = [t for t in texts if langid.split_of(t)]  # the others calibrate
+    assert counted
     table = m.table()
     sequences = []
     for t in counted:
@@ -131,6 +133,16 @@ def test_bytes_of_a_sample_are_filled_in_the_order_of_the_hash(spark):
     assert sorted(got) == sorted(order[:100]) and max(got) > 300
 
 
+def test_bounded_sample_with_repeated_ids_and_many_labels(spark):
+    docs = frame(spark, [(7, f"copy {k}", "a", None, None) for k in range(900)] + [(k, f"t{k}", "a", None, None) for k in range(100, 150)])
+    got = bounded_sample(docs, docs, label_col="lang", per_class=30)
+    assert len(got) == 30
+    with pytest.raises(ValueError):
+        bounded_sample(docs, docs, label_col="doc_id", classes=20)
+    texts = docs.selectExpr("concat('id', doc_id) doc_id", "text", "lang")
+    assert bounded_sample(texts, texts, label_col="lang", per_class=30) == bounded_sample(texts, texts.repartition(7), label_col="lang", per_class=30)
+
+
 # ------------------------------------------------------------------ toxicity
 
 def toxic_sample(n=300, seed=2):
@@ -159,6 +171,53 @@ def test_toxicity_grades_rise_with_severity(spark):
     assert np.allclose(p.sum(1), 1) and (p >= 0).all() and (np.diff(p @ np.arange(4)) >= 0).all()
 
 
+def test_toxicity_loss_against_plain_python():
+    rng = np.random.default_rng(6)
+    n, width = 10, 7
+    cells = sorted({(int(rng.integers(n)), int(rng.integers(width))) for _ in range(30)})
+    r, j = (np.array(c) for c in zip(*cells))
+    x, w, theta = rng.random(len(r)), rng.normal(size=width), np.array([-0.5, 0.3, 1.1])
+    grade, share = rng.integers(0, 4, n), rng.random(n)
+
+    def plain(w, theta):
+        """A cumulative-link model as a binary model for each threshold."""
+        total = 0.0
+        for i in range(n):
+            s = sum(v * w[k] for a, k, v in zip(r, j, x) if a == i)
+            for t in range(3):
+                p = 1 / (1 + math.exp(-(theta[t] - s)))
+                total -= share[i] * math.log(p if grade[i] <= t else 1 - p)
+        return total + 0.005 * sum(v * v for v in w)
+
+    loss, grad = toxicity.objective(w, theta, r, j, x, grade, share, 0.01)
+    assert math.isclose(loss, plain(w, theta))
+    both = np.concatenate([w, theta])
+    for k in range(len(both)):
+        up, down = both.copy(), both.copy()
+        up[k] += 1e-5
+        down[k] -= 1e-5
+        assert math.isclose((plain(up[:width], up[width:]) - plain(down[:width], down[width:])) / 2e-5, grad[k], rel_tol=1e-4, abs_tol=1e-7)
+
+
+def test_toxicity_expected_severity_against_plain_python(spark):
+    import re
+
+    m = toxicity.fit_calibrated([(int(level > 0), t) for level, t in toxic_sample()], 0.75)
+    weight = dict(zip(m.keys.tolist(), m.weight.tolist()))
+    texts = [t for _, t in toxic_sample(40, 11)] + ["Vile, VILE! \u201cgrimer\u201d", "", "w1"]
+    got = {r.doc_id: r for r in toxicity.predict(frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)]), m).collect()}
+
+    def hashed(word):
+        raw, offsets = toxicity.text_buffers(pa.array([word]))
+        return toxicity.features(raw, offsets)[1].tolist()
+
+    for k, t in enumerate(texts):
+        counts = Counter(h for word in re.findall("[a-z0-9]+", t.lower()) for h in hashed(word))
+        s = sum(math.log1p(c) * weight.get(h, 0.0) for h, c in counts.items())
+        above = [1 - 1 / (1 + math.exp(-(x - s))) for x in m.theta]  # expected severity: the chance to pass each threshold
+        assert math.isclose(got[k].severity, sum(above), abs_tol=1e-9) and math.isclose(got[k].p_toxic, above[0], abs_tol=1e-9) and got[k].toxic == (above[0] >= m.threshold)
+
+
 def test_toxicity_odd_rows(spark):
     m = toxicity.fit_calibrated([(int(level > 0), t) for level, t in toxic_sample()], 0.75)
     rows = [(1, None, "en", "s", 1), (2, "", "en", None, 1), (2, "vile " * 9, "en", "s", 1), (None, "w1 w2", "en", "s", 1)]
@@ -190,9 +249,9 @@ def test_quality_ranks_pairs(spark):
     good = [" ".join(f"word{i}" for i in rng.integers(0, 300, 80)) + "." for _ in range(120)]
     bad = [" ".join(f"W{i}!!" for i in rng.integers(0, 300, 80)) for _ in range(30)]
     m = quality.fit([(1, t) for t in good[:80]] + [(0, t) for t in bad[:20]], 0.2)
-    x, y = (m.worth(quality.sample_features(t)) for t in (good[80:], bad[20:]))
+    x, y = (m.worths(pa.array(t)) for t in (good[80:], bad[20:]))
     assert x.min() > y.max()
-    s = m.score(quality.sample_features(good[80:] + bad[20:]))
+    s = m.score(m.worths(pa.array(good[80:] + bad[20:])))
     assert ((s >= quality.CUT) == np.array([True] * 40 + [False] * 10)).all() and ((0 <= s) & (s <= 1)).all()
     odd = [(1, None, None, None, None), (2, "", None, None, None), (2, " \n", None, None, None), (3, good[0], None, None, None)]
     got = quality.predict(frame(spark, odd), m).collect()
@@ -201,6 +260,49 @@ def test_quality_ranks_pairs(spark):
     assert {r.predicted for r in quality.predict(frame(spark, odd), quality.fit([(1, "a")], 0.0)).collect()} == {1}
 
 
+def test_quality_pair_loss_and_worth_against_plain_python():
+    rng = np.random.default_rng(5)
+    n, width, size = 12, 6, 9
+    z, w, v = rng.normal(size=(n, width)), rng.normal(size=width), rng.normal(size=size)
+    cells = sorted({(int(rng.integers(n)), int(rng.integers(size))) for _ in range(40)})
+    row, slot = (np.array(c) for c in zip(*cells))
+    value = rng.random(len(row))
+    a, b = rng.integers(0, n, 50), rng.integers(0, n, 50)
+
+    def plain(w, v):
+        worth = [sum(z[i][k] * w[k] for k in range(width)) + sum(x * v[s] for r, s, x in zip(row, slot, value) if r == i) for i in range(n)]
+        return sum(math.log1p(math.exp(-(worth[i] - worth[k]))) for i, k in zip(a, b)) / len(a) + 0.05 * (sum(x * x for x in w) + sum(x * x for x in v))
+
+    loss, gw, gv = quality.objective(w, v, z, row, slot, value, a, b, 0.1)
+    assert math.isclose(loss, plain(w, v))
+    for k in range(width):
+        up, down = w.copy(), w.copy()
+        up[k], down[k] = w[k] + 1e-5, w[k] - 1e-5
+        assert math.isclose((plain(up, v) - plain(down, v)) / 2e-5, gw[k], rel_tol=1e-4, abs_tol=1e-7)
+    for k in range(size):
+        up, down = v.copy(), v.copy()
+        up[k], down[k] = v[k] + 1e-5, v[k] - 1e-5
+        assert math.isclose((plain(w, up) - plain(w, down)) / 2e-5, gv[k], rel_tol=1e-4, abs_tol=1e-7)
+    # the features of texts scored together are those of each text alone, and n-grams never cross texts
+    texts = ["The same text.", "", "a", "b\u00e9b\u00e9 | x!! " * 9, "The same text."]
+    m = quality.fit([(1, "some good words here and there. " * 3)] * 5 + [(0, "x!! y!! z!! ")] * 5, 0.5)
+    together = m.worths(pa.array(texts))
+    assert np.allclose(together, [m.worths(pa.array([t]))[0] for t in texts]) and together[0] == together[4]
+    raw, offsets = quality.text_buffers(pa.array(["abcdef ab ab"]))
+    _, bucket, got = quality.grams(raw, offsets)
+    seen = Counter(["abcdef ab ab"[k:k + 4] for k in range(9)]) + Counter(["abcdef", "ab", "ab"])
+    norm = math.sqrt(sum(math.log1p(c) ** 2 for c in seen.values()))
+    assert len(bucket) == len(seen) and np.allclose(sorted(got), sorted(math.log1p(c) / norm for c in seen.values()))
+
+
+def test_quality_does_not_punish_questions(spark):
+    docs, labels = labelled(spark)
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    m = quality.fit([(r.quality, rows[r.doc_id]) for r in labels.collect() if rows.get(r.doc_id)], 0.2)
+    asked = m.score(m.worths(pa.array(["Was ist das? Warum? Wie? Wirklich? Ja!", "Was ist das. Warum. Wie. Wirklich. Ja."])))
+    assert abs(asked[0] - asked[1]) < 0.5
+
+
 @need_data
 def test_quality_held_out_accuracy(spark):
     from docloom.llm.queries import op9_quality
