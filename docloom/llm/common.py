@@ -228,3 +228,22 @@ def windows(h: np.ndarray, bounds: np.ndarray, n: int, seed: int) -> tuple[np.nd
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's long."""
     return np.ascontiguousarray(x).view(np.int64)
+
+
+# ------------------------------------------------------------------ blocks of names for a fragment
+
+def place(token: np.ndarray, fragments: int) -> np.ndarray:
+    """Fragment (upper half) and fingerprint within it (lower half) of each shingle."""
+    f = ((token >> U(32)) * U(fragments)) >> U(32)
+    return (f << U(32)) | (token & U(0xFFFFFFFF))
+
+
+def pack(r: np.ndarray, times: np.ndarray) -> bytes:
+    """Sorted distinct fingerprints as differences, and how often each occurs (up to 255), in planes of bytes."""
+    step = np.diff(r.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
+    return step.view(np.uint8).reshape(-1, 4).T.tobytes() + np.minimum(times, 255).astype(np.uint8).tobytes()
+
+
+def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(block, np.uint8).reshape(5, -1)
+    return np.cumsum(np.ascontiguousarray(planes[:4].T).view("<u4").ravel(), dtype=np.uint32), planes[4]

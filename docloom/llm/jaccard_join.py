@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, Words, arrow_rows, chunks, lean, lean_groups, materialize, parallelism, signed, text_buffers, windows
+from .common import U, Words, arrow_rows, chunks, lean, lean_groups, materialize, pack, parallelism, place, signed, text_buffers, unpack, windows
 from .components import components, spread_join
 
 #: Bytes of text in a group, and shingles in a fragment when frequencies are counted: what one Python call holds.
@@ -103,23 +103,6 @@ def document_sets(docs: DataFrame, *, id_col: str, text_col: str, n: int) -> Dat
 
 # ------------------------------------------------------------------ frequencies by fragment
 
-def _place(token: np.ndarray, fragments: int) -> np.ndarray:
-    """Fragment (upper half) and fingerprint within it (lower half) of each shingle."""
-    f = ((token >> U(32)) * U(fragments)) >> U(32)
-    return (f << U(32)) | (token & U(0xFFFFFFFF))
-
-
-def pack(r: np.ndarray, times: np.ndarray) -> bytes:
-    """Sorted distinct fingerprints as differences, and how often each occurs (up to 255), in planes of bytes."""
-    step = np.diff(r.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
-    return step.view(np.uint8).reshape(-1, 4).T.tobytes() + np.minimum(times, 255).astype(np.uint8).tobytes()
-
-
-def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(block, np.uint8).reshape(5, -1)
-    return np.cumsum(np.ascontiguousarray(planes[:4].T).view("<u4").ravel(), dtype=np.uint32), planes[4]
-
-
 def frequency_code(times: np.ndarray) -> np.ndarray:
     """0 for one set, else 1 + eighths of an octave above two; a byte."""
     return np.where(times < 2, 0, np.minimum(1 + np.floor(8 * np.log2(np.maximum(times, 2) / 2)), 255)).astype(np.uint8)
@@ -152,11 +135,11 @@ def candidate_sets(rows: DataFrame, *, n: int, percent: int, hot: int = HOT) ->
 
     def tally(table: pa.Table) -> pa.Table:
         _, sets = _distinct(table, n)
-        place, times = np.unique(_place(np.concatenate(sets), fragments), return_counts=True)
-        f = (place >> U(32)).astype(np.int64)
+        code, times = np.unique(place(np.concatenate(sets), fragments), return_counts=True)
+        f = (code >> U(32)).astype(np.int64)
         start = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
         ends = np.concatenate([start[1:], [len(f)]])
-        r = place.astype(np.uint32)
+        r = code.astype(np.uint32)
         return pa.table({"f": f[start], "g": np.full(len(start), table.column("_g")[0].as_py(), np.int64), "block": pa.array([pack(r[a:b], times[a:b]) for a, b in zip(start, ends)], pa.binary())})
 
     def add(table: pa.Table) -> pa.Table:
@@ -177,7 +160,7 @@ def candidate_sets(rows: DataFrame, *, n: int, percent: int, hot: int = HOT) ->
         order = np.argsort(right.column("f").to_numpy())
         answers = right.column("codes").to_pylist()
         code = np.frombuffer(b"".join(answers[k] for k in order.tolist()), np.uint8)
-        code = code[np.unique(_place(token, fragments), return_inverse=True)[1]]
+        code = code[np.unique(place(token, fragments), return_inverse=True)[1]]
         live = np.bincount(owner, code > 0, len(size)).astype(np.int64)
         need = -(-percent * size // 100)
         use = (code > 0) & (live >= need)[owner]

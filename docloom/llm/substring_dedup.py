@@ -1,23 +1,24 @@
 """Removal of repeated passages by recompression.
 
-Rounds of recompression turn each document's words into ever longer symbols: first every maximal run of one symbol is
-named, then every pair of a left and a right symbol (a coin that the symbol's name tosses decides its side). Names are
-64-bit hashes of what they stand for, so all tasks of the cluster give the same thing the same name without a shuffle.
-A symbol's naming depends on a known stretch of words around it; inside any two occurrences of a passage the symbols
-whose stretches lie within are the same.
-
-Every window of `size` words picks one such symbol, by a rule that sees nothing outside the window: the highest level,
-then the least hash, then the leftmost; a window without one (inside a long run) is its own symbol. So equal windows
-pick the same symbol at the same place, and neighbouring windows mostly share one: one symbol stands for several windows.
-Three rounds over Spark follow, each of which sends keys and gets back the smallest document that has them:
-
-A. the symbols picked: shared ones reveal repeats;
-B. for shared symbols, the whole stretch of the windows that picked one (128 bits of hash): a stretch that a smaller
-   document has too is repeated as a whole;
-C. where a symbol has several stretches, as at the ends of repeats, each window on its own (128 bits of hash).
-
-Documents are dealt out by groups in one shuffle of the texts, which all rounds reuse. A group sends a key once, so a
-passage that all documents hold makes one row for each group, never one for each document.
+Recompression turns each document's words into ever longer symbols: in each round every maximal run of one symbol is
+named, then every pair of a left and a right symbol (a coin that the symbol's name tosses decides its side). A symbol's
+naming depends on a known stretch of words around it; inside any two occurrences of a passage the symbols whose
+stretches lie within are the same. Names are hashes of what they stand for, so equal things have equal names everywhere;
+what the rounds over Spark add is which names are in use in more than one document.
+
+Rounds over Spark, each of which sends names to fragments (ranges of the hash) and gets an answer for each:
+
+1. Naming, `ROUNDS` times. Every window of `size` words that is still in question picks one symbol of this round, by a
+   rule that sees nothing outside the window (the highest level, the least hash, the leftmost). Symbols of one document
+   only are told apart from shared ones; windows that picked one of the former repeat nowhere and are out. The next round
+   goes on with the longer symbols of the windows that are left.
+2. Stretches. Neighbouring windows mostly share their symbol: one symbol stands for several windows. Of each shared
+   top symbol the whole stretch of windows that picked it is compared (128 bits of two independent word hashes): a stretch
+   that a smaller document has too is repeated as a whole.
+3. Ends. Where a symbol has several stretches, as at the ends of repeats, each window is compared on its own (128 bits).
+
+Documents are dealt out by groups of bounded bytes in one shuffle of the texts, which all rounds reuse. A group sends a
+fragment one block for all its names, and each name once: a passage that all documents hold is one entry for each group.
 """
 
 from __future__ import annotations
@@ -27,13 +28,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Words, arrow_rows, chunks, lean, lean_groups, mix, odd_keys, parallelism, signed, text_buffers, windows
+from .common import U, Words, arrow_rows, chunks, lean, lean_groups, mix, odd_keys, pack, parallelism, place, text_buffers, unpack, windows
 
-#: Rounds of recompression. More make longer symbols, but in a window of 13 words their neighbourhoods leave fewer to pick from.
-ROUNDS = 1
+#: Rounds of recompression.
+ROUNDS = 2
+#: Bytes of text in a group: what one Python call holds, a longer text alone. And text for each fragment of the names.
+GROUP_BYTES = 4 << 20
+FRAGMENT_BYTES = 32 << 20
 _STEP = U(0x9E3779B97F4A7C15)
 #: Bits of a symbol's rank that hold its place, so that the leftmost of equal ones is least.
 _PLACE = 28
@@ -136,10 +140,13 @@ def _least(rank: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         width *= 2
 
 
-def pick(h: np.ndarray, bounds: np.ndarray, size: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(windows, symbol, place): of each window within a row its first word, the symbol it picks and that symbol's place."""
+def pick(h: np.ndarray, bounds: np.ndarray, size: int, rounds: int = ROUNDS, w: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(windows, symbol, place): of each window within a row its first word, the symbol it picks and that symbol's place.
+
+    w: the first words of the windows in question, by default all. A window without a symbol (inside a long run) is its own.
+    """
     one, inside = windows(h, bounds, size, seed=1)
-    w = np.flatnonzero(inside)
+    w = np.flatnonzero(inside) if w is None else w
     symbol, place = one[w].copy(), w.copy()
     todo = np.arange(len(w))
     prefix = _prefix(h)
@@ -172,83 +179,147 @@ class Anchors:
     block: np.ndarray
 
 
-def anchors(h: np.ndarray, bounds: np.ndarray, size: int, rounds: int = ROUNDS) -> Anchors:
-    w, symbol, place = pick(h, bounds, size, rounds)
+def anchors(h: np.ndarray, bounds: np.ndarray, size: int, w: np.ndarray, symbol: np.ndarray, at: np.ndarray) -> Anchors:
+    """The stretches of windows w that picked a symbol at one place; h: the word hashes that the stretches are named by."""
     if not len(w):
         none = np.zeros(0, np.int64)
         return Anchors(none, none.astype(U), none, none, none.astype(U))
     row = np.searchsorted(bounds, w, "right") - 1
     new = np.ones(len(w), bool)
-    new[1:] = (symbol[1:] != symbol[:-1]) | (place[1:] != place[:-1]) | (row[1:] != row[:-1])
+    new[1:] = (symbol[1:] != symbol[:-1]) | (at[1:] != at[:-1]) | (row[1:] != row[:-1]) | (w[1:] != w[:-1] + 1)
     a = np.flatnonzero(new)
     b = np.concatenate([a[1:], [len(w)]]) - 1
     begin, end = w[a], w[b] + size
-    block = mix(_stretch(_prefix(h), begin, end) + (place[a] - begin).astype(U) * _STEP + (end - begin).astype(U) * U(0xC2B2AE3D27D4EB4F))
+    block = mix(_stretch(_prefix(h), begin, end) + (at[a] - begin).astype(U) * _STEP + (end - begin).astype(U) * U(0xC2B2AE3D27D4EB4F))
     return Anchors(row[a], symbol[a], w[a], w[b], block)
 
 
-# ------------------------------------------------------------------ on DataFrames
+# ------------------------------------------------------------------ groups
 
-def _by_chunk(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, Words, np.ndarray]]:
-    """(first row, words, hashes) of some MB of text at a time."""
-    raw, offsets = text_buffers(column)
-    for a, b in chunks(offsets):
-        w = Words(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-        yield a, w, w.hashes()
+def _cat(parts: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def _keys(group: np.ndarray, k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, total: np.ndarray | None = None) -> list[pa.Array]:
-    """One row for each (group, k1, k2): the smallest and the largest document, how often it occurs; total is passed on."""
-    order = np.lexsort((doc, k2, k1, group))
-    group, k1, k2, doc = group[order], k1[order], k2[order], doc[order]
+def _by_fragment(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each fragment's entries begin and end in an order by fragment."""
+    start = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]])) if len(f) else np.zeros(0, np.int64)
+    return start, np.append(start[1:], len(f))
+
+
+def _answers(table: pa.Table, kind: int) -> bytes:
+    """The answers of one kind to a group, in the order of fragments."""
+    if not table.num_rows:
+        return b""
+    here = np.flatnonzero(table.column("kind").to_numpy() == kind)
+    order = here[np.argsort(table.column("f").to_numpy()[here], kind="stable")]
+    data = table.column("data")
+    return b"".join(data[int(k)].as_py() for k in order)
+
+
+def _bits(table: pa.Table, kind: int, f: np.ndarray) -> np.ndarray:
+    """Answers of one bit, which are padded to bytes for each fragment."""
+    raw = np.unpackbits(np.frombuffer(_answers(table, kind), np.uint8)).astype(bool)
+    a, b = _by_fragment(f)
+    width = -(-(b - a) // 8) * 8
+    at = np.cumsum(width) - width
+    return raw[np.repeat(at - a, b - a) + np.arange(len(f))] if len(f) else np.zeros(0, bool)
+
+
+class Group:
+    """The documents of a group and what the rounds so far have said of them."""
+
+    def __init__(self, texts: pa.Table, answers: pa.Table, size: int, fragments: int):
+        self.size, self.fragments, self.answers = size, fragments, answers
+        self.ids = texts.column("_id").to_numpy()
+        self.parts: list[tuple[int, Words, np.ndarray]] = []
+        raw, offsets = text_buffers(texts.column("_text"))
+        for a, b in chunks(offsets):
+            w = Words(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            self.parts.append((a, w, w.hashes()))
+
+    def picked(self, k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(windows, symbols, places) of each part in round k: those that all rounds before left in question."""
+        out = [pick(h, w.bounds, self.size, 1) for _, w, h in self.parts]
+        for j in range(k):
+            names, _ = self.names(out)
+            shared = _bits(self.answers, j, (names >> U(32)).astype(np.int64))
+            kept = []
+            for (w, symbol, at), (_, words, h) in zip(out, self.parts):
+                stay = shared[np.searchsorted(names, place(symbol, self.fragments))] if len(w) else np.zeros(0, bool)
+                w, symbol, at = w[stay], symbol[stay], at[stay]
+                kept.append(pick(h, words.bounds, self.size, j + 2, w) if j + 1 < ROUNDS else (w, symbol, at))
+            out = kept
+        return out
+
+    def names(self, picks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Fragment and fingerprint of the symbols picked, and how many documents of the group have each."""
+        both = []
+        for (w, symbol, _), (a, words, _) in zip(picks, self.parts):
+            row = np.searchsorted(words.bounds, w, "right") - 1 + a
+            new = np.ones(len(w), bool)
+            new[1:] = (symbol[1:] != symbol[:-1]) | (row[1:] != row[:-1])
+            both.append(np.stack([place(symbol[new], self.fragments), row[new].astype(U)]))
+        key, row = np.concatenate(both, 1) if both else np.zeros((2, 0), U)
+        order = np.lexsort((row, key))
+        key, row = key[order], row[order]
+        once = np.ones(len(key), bool)
+        once[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+        return np.unique(key[once], return_counts=True)
+
+    def anchors(self) -> list[Anchors]:
+        self.second = [w.hashes(71) for _, w, _ in self.parts]
+        return [anchors(h, words.bounds, self.size, *p) for p, (_, words, _), h in zip(self.picked(ROUNDS), self.parts, self.second)]
+
+    def windows_of(self, k: int, an: Anchors, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(window, row, key, key) of all windows of the given anchors of part k; the keys come from independent word hashes."""
+        a, words, h = self.parts[k]
+        n = an.last[which] - an.first[which] + 1
+        at = np.repeat(an.first[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return at, np.repeat(an.row[which], n) + a, windows(h, words.bounds, self.size, seed=1)[0][at], windows(self.second[k], words.bounds, self.size, seed=2)[0][at]
+
+
+def _entries(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the smallest document of each."""
+    order = np.lexsort((doc, k2, k1))
+    k1, k2, doc = k1[order], k2[order], doc[order]
     new = np.ones(len(k1), bool)
-    new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (group[1:] != group[:-1])
-    a = np.flatnonzero(new)
-    b = np.concatenate([a[1:], [len(k1)]]).astype(int)[:len(a)] - 1
-    passed = np.zeros(len(a), np.int64) if total is None else total[order][a]
-    return [pa.array(x) for x in (group[a].astype(np.int64), doc[a], signed(k1[a]), doc[b] - doc[a], b - a, signed(k2[a]), passed)]
+    new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+    return k1[new], k2[new], doc[new]
 
 
-#: What a group sends: lo is the smallest document, lo + span the largest, more + 1 how often the key occurs there. Most
-#: spans and mores are 0, and stand together, as then the shuffle's compression makes nothing of them.
-_NAMES = ["g", "lo", "k1", "span", "more", "k2", "total"]
-_SENT = "g bigint, lo bigint, k1 bigint, span bigint, more bigint, k2 bigint, total bigint"
+def _where(known: tuple[np.ndarray, np.ndarray], k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
+    """The index of each key among known ones, which hold all of them in order."""
+    a1, a2 = known
+    pair = np.dtype([("a", "<u8"), ("b", "<u8")])
+    table, wanted = np.empty(len(a1), pair), np.empty(len(k1), pair)
+    table["a"], table["b"], wanted["a"], wanted["b"] = a1, a2, k1, k2
+    both, which = np.unique(np.concatenate([table, wanted]), return_inverse=True)
+    at = np.zeros(len(both), np.int64)
+    at[which[:len(table)]] = np.arange(len(table))
+    return at[which[len(table):]]
 
 
-def _cat(parts: list[np.ndarray], kind) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, kind)
+_SENT = "f bigint, g bigint, block binary"
+_BACK = "g bigint, kind int, f bigint, data binary"
 
 
-def _found(answers: tuple[np.ndarray, ...], k1: np.ndarray, k2: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hit, owner, times) of keys in answers. Keys of two parts are compared in both parts."""
-    a1, a2, owner, times = answers
-    if not len(a1) or not len(k1):
-        return np.zeros(len(k1), bool), np.zeros(len(k1), np.int64), np.zeros(len(k1), np.int64)
-    key, known = (k1, a1) if k2 is None else (_one(k1, k2), _one(a1, a2))
-    order = np.argsort(known, kind="stable")
-    i = np.minimum(np.searchsorted(known[order], key), len(known) - 1)
-    i = order[i]
-    hit = a1[i] == k1
-    if k2 is not None:
-        hit &= a2[i] == k2
-    return hit, np.where(hit, owner[i], 0), np.where(hit, times[i], 0)
+def _blocks(group: int, f: np.ndarray, pack_one) -> pa.Table:
+    a, b = _by_fragment(f)
+    return pa.table({"f": pa.array(f[a].astype(np.int64)), "g": pa.array(np.full(len(a), group, np.int64)), "block": pa.array([pack_one(x, y) for x, y in zip(a, b)], pa.binary())})
 
 
-def _one(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
-    """A 64-bit name of a 128-bit key, to search by; hits are compared in full. Within a group, names do not collide in practice."""
-    return mix(k1 * U(0x9E3779B97F4A7C15) + k2)
+def _name_of(table: pa.Table) -> int:
+    return table.column("_g")[0].as_py()
 
 
-def _answers(table: pa.Table, kind: int) -> tuple[np.ndarray, ...]:
-    here = table.column("kind").to_numpy() == kind
-    return tuple(table.column(c).to_numpy()[here].view(t) for c, t in (("k1", U), ("k2", U), ("owner", np.int64), ("times", np.int64)))
-
+# ------------------------------------------------------------------ on DataFrames
 
-def _windows_of(an: Anchors, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(window, row) of all windows of the given anchors."""
-    n = an.last[which] - an.first[which] + 1
-    at = np.repeat(an.first[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    return at, np.repeat(an.row[which], n)
+def _alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows without an id: their words are counted and kept."""
+    for batch in batches:
+        words = [(t or "").encode().split() for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([0] * len(words), pa.int64()), pa.array([b" ".join(w) for w in words], pa.binary()).cast(pa.string())],
+                                         names=["id", "n_words", "n_removed", "kept_text"])
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 13) -> DataFrame:
@@ -260,105 +331,152 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     other. Other columns are not read; an empty table gives an empty result.
     """
     arrow_rows(docs.sparkSession, 2000)
-    spark = docs.sparkSession
-    parts = parallelism(spark)
-    groups = max(16 * parts, docs.count() // 256, 1)
+    parts = parallelism(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
-    dealt = docs.select(F.pmod(F.xxhash64(F.col(id_col), F.col(id_col).isNull()), F.lit(groups)).alias("_g"), F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text")).repartition(parts, "_g")
-
-    def ids_of(table) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, which rows have one)."""
-        column = table.column("_id")
-        return column.fill_null(0).to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.fill_null(0).to_numpy(), np.array(column.is_valid())
-
-    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, real = ids_of(batch)
-            g = batch.column("_g").to_numpy()
-            out: list[list[np.ndarray]] = [[], []]
-            for a, w, h in _by_chunk(batch.column("_text")):
-                an = anchors(h, w.bounds, size)
-                out[0].append(an.row + a)
-                out[1].append(an.symbol)
-            row, k1 = _cat(out[0], np.int64), _cat(out[1], U)
-            row, k1 = row[real[row]], k1[real[row]]
-            yield pa.RecordBatch.from_arrays(_keys(g[row], k1, np.zeros(len(k1), U), ids[row]), names=_NAMES)
-
-    def answers(sent: DataFrame, kind: int, wanted: str = "owner < most and times >= 0") -> DataFrame:
-        """What the groups get back of the keys that they sent: the smallest document, and how often a key occurs in all.
-
-        Both filters over the stretches read all columns, so that their rows are sent once and not once for each.
-        """
-        w = Window.partitionBy("k1", "k2")
-        back = sent.withColumns({"owner": F.min("lo").over(w), "most": F.max(F.col("lo") + F.col("span")).over(w), "times": F.sum(F.col("more") + 1).over(w)})
-        return back.filter(wanted).select(F.col("g").alias("_g"), F.lit(kind).alias("kind"), "k1", "k2", "owner", "times")
-
-    def blocks(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, real = ids_of(left)
-        known = _answers(right, 1)
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        for a, w, h in _by_chunk(left.column("_text")) if right.num_rows else []:
-            an = anchors(h, w.bounds, size)
-            hit, _, total = _found(known, an.symbol, None)
-            hit &= real[an.row + a]
-            for column, value in zip(out, (an.row[hit] + a, an.symbol[hit], an.block[hit], total[hit])):
-                column.append(value)
-        row = _cat(out[0], np.int64)
-        g = left.column("_g").to_numpy()[:1] if left.num_rows else np.zeros(1, np.int64)
-        return pa.table(_keys(np.repeat(g, len(row)), _cat(out[1], U), _cat(out[2], U), ids[row], _cat(out[3], np.int64)), names=_NAMES)
-
-    def ends(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, real = ids_of(left)
-        known = _answers(right, 2)
-        out: list[list[np.ndarray]] = [[], [], []]
-        for a, w, h in _by_chunk(left.column("_text")) if right.num_rows else []:
-            an = anchors(h, w.bounds, size)
-            hit, owner, _ = _found(known, an.symbol, an.block)
-            own = np.flatnonzero(hit & (owner == ids[an.row + a]) & real[an.row + a])
-            at, row = _windows_of(an, own)
-            one, two = windows(h, w.bounds, size, seed=1)[0], windows(h, w.bounds, size, seed=2)[0]
-            for column, value in zip(out, (row + a, one[at], two[at])):
-                column.append(value)
-        row = _cat(out[0], np.int64)
-        g = left.column("_g").to_numpy()[:1] if left.num_rows else np.zeros(1, np.int64)
-        return pa.table(_keys(np.repeat(g, len(row)), _cat(out[1], U), _cat(out[2], U), ids[row]), names=_NAMES)
-
-    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, real = ids_of(left)
-        whole, single = _answers(right, 2), _answers(right, 3)
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    groups, fragments = max(parts, -(-total // GROUP_BYTES)), max(parts, -(-total // FRAGMENT_BYTES))
+    # rows that repeat an id are spread by their texts
+    dealt = rows.filter("_id is not null").select(F.pmod(F.xxhash64("_id", "_text"), F.lit(groups)).alias("_g"), "_id", "_text").repartition(parts, "_g").groupBy("_g")
+
+    def name(k: int):
+        def send(texts: pa.Table, answers: pa.Table) -> pa.Table:
+            if not texts.num_rows:
+                return _blocks(0, np.zeros(0, np.int64), None)
+            group = Group(texts, answers, size, fragments)
+            names, docs_of = group.names(group.picked(k))
+            return _blocks(_name_of(texts), (names >> U(32)).astype(np.int64), lambda x, y: pack(names[x:y].astype(np.uint32), docs_of[x:y]))
+        return send
+
+    def shared(k: int):
+        def add(table: pa.Table) -> pa.Table:
+            found = [unpack(b) for b in table.column("block").to_pylist()]
+            r, times = np.concatenate([x for x, _ in found]), np.concatenate([t for _, t in found])
+            _, which = np.unique(r, return_inverse=True)
+            more = (np.bincount(which, times) >= 2)[which]
+            data = [np.packbits(x).tobytes() for x in np.split(more, np.cumsum([len(x) for x, _ in found])[:-1])]
+            return _reply(table, k, data)
+        return add
+
+    def _reply(table: pa.Table, kind: int, data: list[bytes]) -> pa.Table:
+        return pa.table({"g": table.column("g"), "kind": pa.array([kind] * len(data), pa.int32()), "f": table.column("f"), "data": pa.array(data, pa.binary())})
+
+    def place_of(k1: np.ndarray) -> np.ndarray:
+        return (place(k1, fragments) >> U(32)).astype(np.int64)
+
+    def sent(texts: pa.Table, keys: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.Table:
+        k1, k2, lo = keys
+        return _blocks(_name_of(texts), place_of(k1), lambda x, y: k1[x:y].tobytes() + k2[x:y].tobytes() + np.diff(lo[x:y], prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+    def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        k1, k2, lo = [], [], []
+        for block in table.column("block").to_pylist():
+            n = len(block) // 24
+            k1.append(np.frombuffer(block, "<u8", n))
+            k2.append(np.frombuffer(block, "<u8", n, 8 * n))
+            lo.append(np.cumsum(np.ascontiguousarray(np.frombuffer(block, np.uint8, 8 * n, 16 * n).reshape(8, n).T).view("<i8").ravel()))
+        return np.concatenate(k1), np.concatenate(k2), np.concatenate(lo), np.cumsum([len(x) for x in k1])[:-1].tolist()
+
+    def owners(kind: int):
+        """Of each key the smallest document, as what to add to the group's own; for stretches, whether the symbol has others."""
+        def add(table: pa.Table) -> pa.Table:
+            k1, k2, lo, cuts = received(table)
+            order = np.lexsort((lo, k2, k1))
+            s1, s2 = k1[order], k2[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])
+            which = np.cumsum(new) - 1
+            owner = np.empty(len(order), np.int64)
+            owner[order] = lo[order][new][which]
+            data = [np.ascontiguousarray(x.astype("<i8")).tobytes() for x in np.split(owner - lo, cuts)]
+            if kind == ROUNDS:
+                first = np.ones(len(order), bool)
+                first[1:] = s1[1:] != s1[:-1]
+                symbol = np.cumsum(first) - 1
+                many = np.empty(len(order), bool)
+                many[order] = (np.bincount(symbol, new) > 1)[symbol]
+                data = [d + m.astype(np.uint8).tobytes() for d, m in zip(data, np.split(many, cuts))]
+            return _reply(table, kind, data)
+        return add
+
+    def stretch_keys(group: Group, found: list[Anchors]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _entries(_cat([an.symbol for an in found], U), _cat([an.block for an in found], U), _cat([group.ids[an.row + a] for an, (a, _, _) in zip(found, group.parts)], np.int64))
+
+    def stretches(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return _blocks(0, np.zeros(0, np.int64), None)
+        group = Group(texts, answers, size, fragments)
+        return sent(texts, stretch_keys(group, group.anchors()))
+
+    def judged(group: Group) -> tuple[list[Anchors], list[np.ndarray], list[np.ndarray]]:
+        """The anchors; which are repeated as a whole; which have to be looked at window by window."""
+        found = group.anchors()
+        k1, k2, lo = stretch_keys(group, found)
+        a, b = _by_fragment(place_of(k1))
+        raw, at, owner, many = _answers(group.answers, ROUNDS), 0, [], []
+        for n in (b - a).tolist():
+            owner.append(np.frombuffer(raw, "<i8", n, at))
+            many.append(np.frombuffer(raw, np.uint8, n, at + 8 * n))
+            at += 9 * n
+        owner, many = _cat(owner, np.int64) + lo, _cat(many, np.uint8).astype(bool)
+        full, alone = [], []
+        for an, (first, _, _) in zip(found, group.parts):
+            i = _where((k1, k2), an.symbol, an.block)
+            full.append(owner[i] < group.ids[an.row + first])
+            alone.append(~full[-1] & many[i])
+        return found, full, alone
+
+    def window_keys(group: Group, found: list[Anchors], alone: list[np.ndarray]) -> tuple[list[tuple], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        each = [group.windows_of(k, an, np.flatnonzero(which)) for k, (an, which) in enumerate(zip(found, alone))]
+        return each, _entries(_cat([x[2] for x in each], U), _cat([x[3] for x in each], U), _cat([group.ids[x[1]] for x in each], np.int64))
+
+    def ends(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return _blocks(0, np.zeros(0, np.int64), None)
+        group = Group(texts, answers, size, fragments)
+        found, _, alone = judged(group)
+        return sent(texts, window_keys(group, found, alone)[1])
+
+    def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
         n_words, n_removed, kept = [], [], []
-        for a, w, h in _by_chunk(left.column("_text")):
-            gone = np.zeros(len(h) + 1, np.int64)
-            if right.num_rows:
-                an = anchors(h, w.bounds, size)
-                doc = ids[an.row + a]
-                hit, owner, _ = _found(whole, an.symbol, an.block)
-                full = hit & (owner < doc) & real[an.row + a]
-                np.add.at(gone, an.first[full], 1)
-                np.add.at(gone, an.last[full] + size, -1)
-                if len(single[0]):
-                    at, row = _windows_of(an, np.flatnonzero(~full & real[an.row + a]))
-                    one, two = windows(h, w.bounds, size, seed=1)[0], windows(h, w.bounds, size, seed=2)[0]
-                    hit, owner, _ = _found(single, one[at], two[at])
-                    at = at[hit & (owner < ids[row + a])]
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + size, -1)
-            stay = np.cumsum(gone[:-1]) == 0
-            data, bounds = w.raw.tobytes(), w.bounds
-            lost = np.concatenate([[0], np.cumsum(~stay)])[bounds]
-            for k in range(len(bounds) - 1):
-                words = data[w.offsets[k]:w.offsets[k + 1]].split()
-                if lost[k + 1] > lost[k]:
-                    words = [x for x, ok in zip(words, stay[bounds[k]:bounds[k + 1]].tolist()) if ok]
-                kept.append(b" ".join(words))
-            n_words += np.diff(bounds).tolist()
-            n_removed += np.diff(lost).tolist()
-        return pa.table([left.column("_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "n_words", "n_removed", "kept_text"])
-
-    texts = dealt.groupBy("_g")
-    a = answers(dealt.mapInArrow(lean(symbols), _SENT), 1)
-    stretches = texts.cogroup(a.groupBy("_g")).applyInArrow(lean_groups(blocks), _SENT)
-    # where all occurrences of a symbol have one stretch, no window needs to be looked at alone
-    c = answers(texts.cogroup(answers(stretches, 2, "times < total and owner <= most").groupBy("_g")).applyInArrow(lean_groups(ends), _SENT), 3)
-    result = texts.cogroup(answers(stretches, 2, "owner < most and times <= total").union(c).groupBy("_g")).applyInArrow(lean_groups(cut), "id bigint, n_words bigint, n_removed bigint, kept_text string")
+        if texts.num_rows:
+            group = Group(texts, answers, size, fragments)
+            found, full, alone = judged(group)
+            each, (k1, k2, lo) = window_keys(group, found, alone)
+            owner = np.frombuffer(_answers(answers, ROUNDS + 1), "<i8") + lo
+            for (a, w, _), an, whole, (at, row, one, two) in zip(group.parts, found, full, each):
+                gone = np.zeros(len(w) + 1, np.int64)
+                np.add.at(gone, an.first[whole], 1)
+                np.add.at(gone, an.last[whole] + size, -1)
+                at = at[owner[_where((k1, k2), one, two)] < group.ids[row]]
+                np.add.at(gone, at, 1)
+                np.add.at(gone, at + size, -1)
+                stay = np.cumsum(gone[:-1]) == 0
+                data, bounds = w.raw.tobytes(), w.bounds
+                lost = np.concatenate([[0], np.cumsum(~stay)])[bounds]
+                for k in range(len(bounds) - 1):
+                    words = data[w.offsets[k]:w.offsets[k + 1]].split()
+                    if lost[k + 1] > lost[k]:
+                        words = [x for x, ok in zip(words, stay[bounds[k]:bounds[k + 1]].tolist()) if ok]
+                    kept.append(b" ".join(words))
+                n_words += np.diff(bounds).tolist()
+                n_removed += np.diff(lost).tolist()
+        return pa.table([texts.column("_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "n_words", "n_removed", "kept_text"])
+
+    def asked(send, add, known: DataFrame | None) -> DataFrame:
+        """All answers that a group has after this round."""
+        if known is None:
+            blocks = dealt.applyInArrow(lean_groups(lambda texts: send(texts, texts.slice(0, 0))), _SENT)
+        else:
+            blocks = dealt.cogroup(known.groupBy("g")).applyInArrow(lean_groups(send), _SENT)
+        new = blocks.groupBy("f").applyInArrow(lean_groups(add), _BACK)
+        return new if known is None else known.union(new)
+
+    known = None
+    for k in range(ROUNDS):
+        known = asked(name(k), shared(k), known)
+    known = asked(stretches, owners(ROUNDS), known)
+    known = asked(ends, owners(ROUNDS + 1), known)
+    out = "id bigint, n_words bigint, n_removed bigint, kept_text string"
+    result = dealt.cogroup(known.groupBy("g")).applyInArrow(lean_groups(cut), out).union(rows.filter("_id is null").mapInArrow(lean(_alone), out))
     return result.select(F.col("id").cast(id_type).alias(id_col), "n_words", "n_removed", "kept_text")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from docloom.llm import exact_dedup, jaccard_join, substring_dedup
+from docloom.llm.common import pack, unpack
 from docloom.llm.components import components
 
 from .data import LOWER, SPACE, corpus, frame, words
@@ -203,7 +204,7 @@ def test_blocks_of_fingerprints():
     for size in (0, 1, 5, 1000):
         r = np.unique(rng.integers(0, 1 << 32, size)).astype(np.uint32)
         times = rng.integers(1, 400, len(r))
-        again, seen = jaccard_join.unpack(jaccard_join.pack(r, times))
+        again, seen = unpack(pack(r, times))
         assert (again == r).all() and (seen == np.minimum(times, 255)).all()
     code = jaccard_join.frequency_code(np.array([1, 2, 3, 4, 10 ** 6, 10 ** 15]))
     assert code.tolist()[:2] == [0, 1] and (np.diff(code.astype(int)) > 0).all()
