@@ -40,7 +40,7 @@ from .common import U, Words, arrow_rows, chunks, lean, lean_groups, materialize
 from .components import components, spread_join
 
 #: Bytes of text in a group, and shingles in a fragment when frequencies are counted: what one Python call holds.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 FRAGMENT_SHINGLES = 4 << 20
 #: Bits of the hash that name the fragment in which a pair's overlap is counted.
 SEGMENT_BITS = 2
@@ -130,7 +130,7 @@ def candidate_sets(rows: DataFrame, *, n: int, percent: int, hot: int = HOT) ->
     parts = parallelism(rows.sparkSession)
     texts = rows.filter("text is not null")
     size, shingles = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
-    groups, fragments = max(parts, -(-size // GROUP_BYTES)), max(parts, -(-shingles // FRAGMENT_SHINGLES))
+    groups, fragments = max(1, -(-size // GROUP_BYTES)), max(1, -(-shingles // FRAGMENT_SHINGLES))
     dealt = texts.select(F.pmod(F.xxhash64("sid"), F.lit(groups)).alias("_g"), "sid", "text").repartition(parts, "_g").groupBy("_g")
 
     def tally(table: pa.Table) -> pa.Table:

@@ -36,8 +36,8 @@ from .common import U, Words, arrow_rows, chunks, lean, lean_groups, mix, odd_ke
 #: Rounds of recompression.
 ROUNDS = 2
 #: Bytes of text in a group: what one Python call holds, a longer text alone. And text for each fragment of the names.
-GROUP_BYTES = 4 << 20
-FRAGMENT_BYTES = 32 << 20
+GROUP_BYTES = 1 << 20
+FRAGMENT_BYTES = 64 << 20
 _STEP = U(0x9E3779B97F4A7C15)
 #: Bits of a symbol's rank that hold its place, so that the leftmost of equal ones is least.
 _PLACE = 28
@@ -140,32 +140,50 @@ def _least(rank: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         width *= 2
 
 
-def pick(h: np.ndarray, bounds: np.ndarray, size: int, rounds: int = ROUNDS, w: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(windows, symbol, place): of each window within a row its first word, the symbol it picks and that symbol's place.
+class Picker:
+    """The symbols of some texts, ready for windows to pick from."""
 
-    w: the first words of the windows in question, by default all. A window without a symbol (inside a long run) is its own.
-    """
-    one, inside = windows(h, bounds, size, seed=1)
-    w = np.flatnonzero(inside) if w is None else w
-    symbol, place = one[w].copy(), w.copy()
-    todo = np.arange(len(w))
-    prefix = _prefix(h)
-    for level, x in reversed(list(enumerate(levels(h, bounds, rounds)))) if len(w) else []:
-        lo = np.searchsorted(x.ds, w[todo])
-        hi = np.searchsorted(x.de, w[todo] + size, "right")
-        some = hi > lo
-        found = todo[some]
-        if len(found):
+    def __init__(self, h: np.ndarray, bounds: np.ndarray, size: int, rounds: int = ROUNDS):
+        self.size = size
+        self.one, inside = windows(h, bounds, size, seed=1)
+        self.all = np.flatnonzero(inside)
+        prefix, n = _prefix(h), len(h)
+        self.levels = []
+        # runs are named on the way; what windows pick are the symbols that a round ends with
+        for level, x in enumerate(levels(h, bounds, rounds)[1::2] if len(self.all) else []):
             # a symbol goes by its name and the words that its naming depends on: the same in equal windows, and rarer
-            full = mix(x.name + _stretch(prefix, np.maximum(x.ds, 0), np.minimum(x.de, len(h))) + _times(level + 1))
+            full = mix(x.name + _stretch(prefix, np.maximum(x.ds, 0), np.minimum(x.de, n)) + _times(level + 1))
+            # how many symbols have a stretch that begins before, or ends up to, each word
+            before = np.cumsum(np.bincount(x.ds + 1, minlength=n + 2)).astype(np.int32)
+            upto = np.cumsum(np.bincount(x.de, minlength=n + 2)).astype(np.int32)
             rank = (full >> U(_PLACE) << U(_PLACE)) | (np.arange(len(full)).astype(U) & U((1 << _PLACE) - 1))
-            best = (_least(rank, lo[some], hi[some]) & U((1 << _PLACE) - 1)).astype(np.int64)
-            symbol[found] = full[best]
-            place[found] = x.s[best]
-        todo = todo[~some]
-        if not len(todo):
-            break
-    return w, symbol, place
+            self.levels.append((full, x.s, before, upto, rank))
+
+    def pick(self, rounds: int, w: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(windows, symbol, place): of each window its first word, the symbol it picks and that symbol's place.
+
+        w: the first words of the windows in question, by default of all within a row. A window without a symbol (inside
+        a long run) is its own.
+        """
+        w = self.all if w is None else w
+        symbol, at = self.one[w], w.copy()
+        todo = np.arange(len(w))
+        for full, starts, before, upto, rank in reversed(self.levels[:rounds]):
+            lo, hi = before[w[todo]], upto[w[todo] + self.size]
+            some = hi > lo
+            found = todo if some.all() else todo[some]
+            if len(found):
+                best = (_least(rank, lo[some], hi[some]) & U((1 << _PLACE) - 1)).astype(np.int64)
+                symbol[found], at[found] = full[best], starts[best]
+            todo = todo[~some]
+            if not len(todo):
+                break
+        return w, symbol, at
+
+
+def pick(h: np.ndarray, bounds: np.ndarray, size: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What all windows of some texts pick; see `Picker`."""
+    return Picker(h, bounds, size, rounds).pick(rounds)
 
 
 @dataclass
@@ -239,15 +257,20 @@ class Group:
 
     def picked(self, k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(windows, symbols, places) of each part in round k: those that all rounds before left in question."""
-        out = [pick(h, w.bounds, self.size, 1) for _, w, h in self.parts]
+        pickers = [Picker(h, w.bounds, self.size, min(k + 1, ROUNDS)) for _, w, h in self.parts]
+        out = [p.pick(1) for p in pickers]
         for j in range(k):
             names, _ = self.names(out)
             shared = _bits(self.answers, j, (names >> U(32)).astype(np.int64))
             kept = []
-            for (w, symbol, at), (_, words, h) in zip(out, self.parts):
-                stay = shared[np.searchsorted(names, place(symbol, self.fragments))] if len(w) else np.zeros(0, bool)
+            for (w, symbol, at), p in zip(out, pickers):
+                # neighbours mostly picked the same: each run of them is looked up once
+                new = np.ones(len(w), bool)
+                new[1:] = symbol[1:] != symbol[:-1]
+                stay = shared[np.searchsorted(names, place(symbol[new], self.fragments))] if len(w) else np.zeros(0, bool)
+                stay = stay[np.cumsum(new) - 1]
                 w, symbol, at = w[stay], symbol[stay], at[stay]
-                kept.append(pick(h, words.bounds, self.size, j + 2, w) if j + 1 < ROUNDS else (w, symbol, at))
+                kept.append(p.pick(j + 2, w) if j + 1 < ROUNDS else (w, symbol, at))
             out = kept
         return out
 
@@ -260,7 +283,7 @@ class Group:
             new[1:] = (symbol[1:] != symbol[:-1]) | (row[1:] != row[:-1])
             both.append(np.stack([place(symbol[new], self.fragments), row[new].astype(U)]))
         key, row = np.concatenate(both, 1) if both else np.zeros((2, 0), U)
-        order = np.lexsort((row, key))
+        order = np.argsort(key, kind="stable")  # rows are in order already
         key, row = key[order], row[order]
         once = np.ones(len(key), bool)
         once[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
@@ -335,7 +358,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
-    groups, fragments = max(parts, -(-total // GROUP_BYTES)), max(parts, -(-total // FRAGMENT_BYTES))
+    groups, fragments = max(1, -(-total // GROUP_BYTES)), max(1, -(-total // FRAGMENT_BYTES))
     # rows that repeat an id are spread by their texts
     dealt = rows.filter("_id is not null").select(F.pmod(F.xxhash64("_id", "_text"), F.lit(groups)).alias("_g"), "_id", "_text").repartition(parts, "_g").groupBy("_g")
 
