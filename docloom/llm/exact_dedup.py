@@ -33,7 +33,8 @@ def _fresh(name: str, taken: list[str]) -> str:
 
 
 def _digest(text):
-    return F.unhex(F.sha2(text, 256))
+    """SHA-256. It is never null, but only so Spark knows: else joins would compute it once more to filter by it."""
+    return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b""))
 
 
 def winners(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
@@ -50,7 +51,7 @@ def winners(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _salt(id_, salts: int):
-    return F.pmod(F.xxhash64(id_), F.lit(salts)).cast("int")
+    return F.coalesce(F.pmod(F.xxhash64(id_), F.lit(salts)).cast("int"), F.lit(0))
 
 
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:

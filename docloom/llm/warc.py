@@ -95,7 +95,7 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
     rows = pages.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").alias("_url"), F.coalesce(F.col(f"`{payload_col}`"), F.lit("")).alias("_p"))
     # a payload below min_bytes is its own key, so that small ones do not meet
     small = F.concat(F.lit("-"), F.xxhash64("_id", "_url").cast("string"))
-    keyed = rows.withColumns({"_key": F.when(F.octet_length("_p") >= min_bytes, F.sha2("_p", 256)).otherwise(small), "_salt": F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS)).cast("int")})
+    keyed = rows.withColumns({"_key": F.coalesce(F.when(F.octet_length("_p") >= min_bytes, F.sha2("_p", 256)).otherwise(small), F.lit("")), "_salt": F.coalesce(F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS)).cast("int"), F.lit(0))})
     plan = revisit_plan(keyed.filter(F.octet_length("_p") >= min_bytes).select("_id", "_key", "_salt"))
     joined = keyed.join(plan, ["_key", "_salt"], "left").select("_id", "_url", F.col("_p").cast("binary"), F.when(F.col("_id").isNull() | (F.col("_id") < F.col("_refers")), F.col("_refers")).alias("_refers"))
 
