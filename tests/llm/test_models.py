@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from docloom.llm import langid, quality, toxicity
+from docloom.llm import langid, quality, sampling, toxicity
 from docloom.llm.common import U
 from docloom.llm.sampling import bounded_sample
 
@@ -218,6 +219,28 @@ def test_toxicity_expected_severity_against_plain_python(spark):
         assert math.isclose(got[k].severity, sum(above), abs_tol=1e-9) and math.isclose(got[k].p_toxic, above[0], abs_tol=1e-9) and got[k].toxic == (above[0] >= m.threshold)
 
 
+def test_toxicity_bound_on_features_is_picked_on_texts_not_fitted(monkeypatch):
+    """Of the bounds, the one with the best F1 there; the strictest of equals, whatever their order of worth."""
+    rng = random.Random(4)
+    bad, common = ["".join(rng.choices("bcdfgjklmnpqrs", k=7)) for _ in range(40)], [f"w{k}" for k in range(800)]
+
+    def text(toxic):
+        return " ".join(rng.sample(rng.choices(common, k=60) + rng.choices(bad, k=3 * toxic), 60 + 3 * toxic))
+    sample = [(y, text(y)) for y in [1] * 80 + [0] * 480]
+    other = [x for x in sample if not sampling.split_of(x[1])]
+    for chances in ((1.0, 0.5), (0.5, 1.0), (9.0, 1.0), (1.0, 1.0)):
+        models = []
+        for chance in chances:
+            monkeypatch.setattr(toxicity, "CHANCES", (chance,))
+            models.append(toxicity.fit_calibrated(sample, 1 / 7))
+        monkeypatch.setattr(toxicity, "CHANCES", chances)
+        f1 = [toxicity.calibrate(m, other, 1 / 7)[1] for m in models]
+        got = toxicity.fit_calibrated(sample, 1 / 7)
+        wanted = models[f1.index(max(f1))]
+        assert np.array_equal(got.keys, wanted.keys) and got.threshold == wanted.threshold
+    assert f1[0] > 0.7
+
+
 def test_toxicity_odd_rows(spark):
     m = toxicity.fit_calibrated([(int(level > 0), t) for level, t in toxic_sample()], 0.75)
     rows = [(1, None, "en", "s", 1), (2, "", "en", None, 1), (2, "vile " * 9, "en", "s", 1), (None, "w1 w2", "en", "s", 1)]
