@@ -159,8 +159,18 @@ class Engine:
         out = self._joined(collection, self._page(collection, self._matched(collection, where, locale), sort, limit, page, locale), joins, locale)
         return out.drop("_rev", "_supplement")
 
+    def documents_df(self, collection: str, where: dict | None = None, sort: Sort = None, limit: int = 10, page: int = 1, joins: Any = None, locale: str | None = None) -> DataFrame:
+        """The documents of `find` as rows, in their order: `id` and `document`, both text, the latter JSON. Nothing is collected, so a page may have all."""
+        rows = self._joined(collection, self._page(collection, self._matched(collection, where, locale), sort, limit, page, locale), joins, locale)
+        if joins:
+            rows = self._in_order(collection, rows, sort, locale)
+        return rows.select(F.col(f"`{self.catalog.collections[collection].id}`").cast("string").alias("id"), documents.document_json(rows.schema, self._fields(collection)).alias("document"))
+
     def find(self, collection: str, where: dict | None = None, sort: Sort = None, limit: int = 10, page: int = 1, pagination: bool = True, joins: Any = None, locale: str | None = None) -> dict[str, Any]:
-        """A page of documents with its numbers. Without pagination nothing is counted: the total is the page's size."""
+        """A page of documents with its numbers. Without pagination nothing is counted: the total is the page's size.
+
+        The page is collected: with limit 0 all matches, which `documents_df` gives without that.
+        """
         found = self._matched(collection, where, locale)
         return self._collected(collection, found, sort, limit, page, pagination, joins, locale)
 
@@ -171,11 +181,14 @@ class Engine:
         total = found.count() if pagination and take else len(docs)
         return {"docs": docs, **page_info(total, limit, number, pagination)}
 
+    def _in_order(self, slug: str, rows: DataFrame, sort: Sort, locale: str | None) -> DataFrame:
+        """A page in its order, which joins may have disturbed."""
+        before = [F.col("_supplement").asc()] if "_supplement" in rows.columns else None
+        return rows.orderBy(*order_by(self.scope(slug, rows, locale), sort, before=before))
+
     def _documents(self, slug: str, rows: DataFrame, sort: Sort = None, locale: str | None = None) -> list[dict]:
         """Collected documents; joins may have disturbed the order, so it is made again."""
-        before = [F.col("_supplement").asc()] if "_supplement" in rows.columns else None
-        ordered = rows.orderBy(*order_by(self.scope(slug, rows, locale), sort, before=before))
-        return [self._document(slug, r) for r in ordered.collect()]
+        return [self._document(slug, r) for r in self._in_order(slug, rows, sort, locale).collect()]
 
     def _document(self, slug: str, row: Row) -> dict:
         return documents.document(row.asDict(recursive=True), self._fields(slug))

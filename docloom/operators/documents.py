@@ -6,6 +6,8 @@ import json
 from datetime import datetime
 from typing import Any
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.operands import instant, iso
@@ -92,3 +94,24 @@ def presented(value: Any, field: Field | None = None) -> Any:
 def document(row: dict, fields: dict[str, Field]) -> dict:
     """A collected row as a document: internal columns and absent fields left out."""
     return {k: presented(v, fields.get(k)) for k, v in row.items() if v is not None and k != "_rev" and not k.startswith("_supplement")}
+
+
+def shown(column: Column, kind: T.DataType, field: Field | None = None) -> Column:
+    """`presented` as a column that `to_json` writes; it leaves absent keys out itself."""
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        text = column.cast("string")
+        return F.concat(F.translate(F.substring_index(text, ".", 1), " ", "T"), F.lit("."), F.rpad(F.substring(F.split_part(text, F.lit("."), F.lit(2)), 1, 3), 3, "0"), F.lit("Z"))
+    if isinstance(kind, T.StructType):
+        below = children(field) if field is not None and field.type in ("group", "array", "blocks") else {}
+        return F.when(column.isNotNull(), F.struct(*(shown(column.getField(f.name), f.dataType, below.get(f.name)).alias(f.name) for f in kind.fields)))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: shown(x, kind.elementType, field))
+    if field is not None and field.type in FREE_TYPES and isinstance(kind, T.StringType):
+        return F.coalesce(F.try_parse_json(column), column.cast("variant"))
+    return column
+
+
+def document_json(kind: T.StructType, fields: dict[str, Field]) -> Column:
+    """`document` as a column: a row's document as JSON text."""
+    kept = [f for f in kind.fields if f.name != "_rev" and not f.name.startswith("_supplement")]
+    return F.to_json(F.struct(*(shown(F.col(f"`{f.name}`"), f.dataType, fields.get(f.name)).alias(f.name) for f in kept)), {"ignoreNullFields": "true"})

@@ -299,7 +299,8 @@ query("backfill", "SELECT 'customer.c_name' AS path, true AS ready, 0 AS conflic
 # ------------------------------------------------------------------ documents, pages and other forms of joins
 
 query("find_documents", """SELECT o_orderkey::VARCHAR AS id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000Z') AS date, 'o_custkey,o_orderdate,o_orderkey,o_orderpriority,o_orderstatus,o_totalprice' AS keys FROM orders WHERE o_orderstatus = 'P'""")(
-    lambda e: e.spark.createDataFrame([(str(d["o_orderkey"]), d["o_orderdate"], ",".join(sorted(d))) for d in e.find("orders", {"o_orderstatus": {"equals": "P"}}, limit=0)["docs"]], "id string, date string, keys string"))
+    lambda e: e.documents_df("orders", {"o_orderstatus": {"equals": "P"}}, limit=0).select(
+        F.get_json_object("document", "$.o_orderkey").alias("id"), F.get_json_object("document", "$.o_orderdate").alias("date"), F.array_join(F.array_sort(F.json_object_keys("document")), ",").alias("keys")))
 query("find_one_draft", f"SELECT conv_id, turn, role FROM ({_TURNS}) WHERE latest AND turn > 0 ORDER BY conv_id::VARCHAR LIMIT 1")(
     lambda e: e.spark.createDataFrame([tuple((e.find_one("conversations", {"turn": {"greater_than": 0}}) or {}).get(k) for k in ("conv_id", "turn", "role"))], "conv_id bigint, turn bigint, role string"))
 query("page_numbers", """SELECT 7 AS "limit", 3 AS page, count(*)::INT AS "totalDocs", ceil(count(*) / 7.0)::INT AS "totalPages", true AS "hasPrevPage", true AS "hasNextPage", 4 AS "nextPage", 2 AS "prevPage", 15 AS "pagingCounter" FROM orders WHERE o_orderstatus = 'F'""")(

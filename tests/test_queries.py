@@ -1,6 +1,7 @@
 """Filters, paths, casting, sorting, joins, drafts and locales over small collections."""
 
 import itertools
+import os
 import random
 from datetime import datetime
 
@@ -283,6 +284,26 @@ def test_all_conversations_are_published(spark, tmp_path):
     assert sorted((r.conv_id, r.turn) for r in e.query_drafts_df("conversations", {"version.role": {"equals": "user"}}, limit=0).collect()) == [(2, 2), (3, 0), (5, 2), (6, 0), (7, 1)]
 
 
+def test_documents_without_collecting(spark, things, blog, drafty, articles, monkeypatch):
+    import json
+
+    from pyspark.sql import DataFrame
+
+    from docloom.queries import QUERIES
+
+    for engine, slug, more in ((things, "things", {}), (things, "things", {"sort": "-count", "limit": 2, "page": 2}), (blog, "posts", {"sort": "-rank"}), (blog, "authors", {"joins": {"posts": {"limit": 2}}}), (drafty, "d", {}), (articles, "articles", {"locale": "es"})):
+        wanted = engine.find(slug, **{"limit": 0, **more})["docs"]
+        got = engine.documents_df(slug, **{"limit": 0, **more}).collect()
+        assert [json.loads(r.document) for r in got] == json.loads(json.dumps(wanted)) and [r.id for r in got] == [str(d["id"]) for d in wanted]
+    odd = Engine(spark, [Collection("t", (F_("at", "date"), F_("meta", "json"), F_("g", "group", fields=(F_("at", "date"), F_("meta", "json")))))])
+    times = [datetime(1969, 12, 31, 23, 59, 59, 999000), datetime(2024, 1, 2, 3, 4, 5, 60000), datetime(2024, 1, 2)]
+    odd.put("t", spark.createDataFrame([(str(k), t, m, (t, m)) for k, (t, m) in enumerate(zip([*times, None], ['{"b": [1, null, "x"]}', "no json", "null", None]))], "id string, at timestamp_ntz, meta string, g struct<at: timestamp_ntz, meta: string>"))
+    assert [json.loads(r.document) for r in odd.documents_df("t").collect()] == odd.find("t")["docs"]
+    if os.path.isdir("/root/testdata/sf0.001"):
+        monkeypatch.setattr(DataFrame, "collect", lambda self: pytest.fail("the matches are collected"))
+        assert QUERIES["find_documents"](spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_globals(drafty):
     assert drafty.find_global("site")["name"] == "Home" and drafty.find_global("site", {"name": {"equals": "x"}}) is None
     assert [v["id"] for v in drafty.find_global_versions("site", {"version.name": {"like": "home"}})["docs"]] == ["g1"] and drafty.count_global_versions("site") == {"totalDocs": 1}
