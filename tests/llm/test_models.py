@@ -318,6 +318,61 @@ def test_quality_pair_loss_and_worth_against_plain_python():
     assert len(bucket) == len(seen) and np.allclose(sorted(got), sorted(math.log1p(c) / norm for c in seen.values()))
 
 
+def ranked_texts(n_good, n_bad, seed=11):
+    """(id, text, label): prose against junk that share words, with copies, blanks and texts that look like the other kind."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(n_good + n_bad):
+        label = int(k < n_good)
+        other = rng.random() < 0.1
+        word = "word{}." if (label == 1) != other else "W{}!!|"
+        rows.append((int(k * 7919 % 1000003), " ".join(word.format(i) for i in rng.integers(0, 60, rng.integers(2, 25))) if k % 97 else ["", "copy of one text"][k % 2], label))
+    return rows
+
+
+def test_quality_learns_every_labelled_text(spark):
+    rows = ranked_texts(2900, 2800)
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(2000000, None), (2000001, "without a label")], "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(rows[0][0], rows[0][2]), (2000000, 1), (2000002, 0), (2000001, None)], "doc_id bigint, quality int")
+    m = quality.fit_on(docs, labels)
+    raw, offsets = quality.text_buffers(pa.array([r[1] for r in rows]))
+    x = quality.features(raw, offsets)
+    assert np.allclose(m.mean, x.mean(0), atol=1e-6) and np.allclose(m.scale, np.maximum(x.std(0), 1e-3), atol=1e-6)
+    # the cut is the quantile of all of them: as many texts below it as have label 0, but for equal texts at the cut
+    worth = np.sort(m.worths(pa.array([r[1] for r in rows])))
+    assert worth[2799] <= m.cut <= worth[2800] and np.isclose(m.cut, (worth[2799] + worth[2800]) / 2)
+    # blocks that stay with the executors give the same; other blocks (a shuffled join, texts at hand) all but the last digits of where the fit stops
+    far = quality.fit_on(docs, labels, driver_bytes=0)
+    assert (far.weight == m.weight).all() and (far.grams == m.grams).all() and (far.cut, far.slope) == (m.cut, m.slope)
+    texts = pa.array([r[1] for r in rows])
+    for other in (quality.fit_on(docs, labels, driver_bytes=0, broadcast_labels=0), quality.fit([(r[2], r[1]) for r in rows])):
+        assert np.allclose(other.mean, m.mean, atol=1e-6) and np.abs(other.score(other.worths(texts)) - m.score(m.worths(texts))).max() < 0.02
+    assert {r.predicted for r in quality.predict(docs, quality.fit_on(docs, labels.filter("quality is null"))).collect()} == {1}
+
+
+def test_quality_all_pairs_against_listed_pairs():
+    rows = ranked_texts(70, 50)
+    raw, offsets = quality.text_buffers(pa.array([r[1] for r in rows]))
+    y = np.array([r[2] for r in rows])
+    blocks = [quality.Block.of(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], y[a:b]) for a, b in ((0, 13), (13, 14), (14, 120))]
+    again = [quality.Block.unpacked(b.packed()) for b in blocks]
+    x = quality.features(raw, offsets)
+    rng = np.random.default_rng(2)
+    model = quality.Model(x.mean(0), np.maximum(x.std(0), 1e-3), rng.normal(size=2 * quality.WIDTH) / 9, rng.normal(size=quality.BUCKETS), 0.0, 1.0)
+    row, bucket, value = quality.grams(raw, offsets)
+    a, b = (c.ravel() for c in np.meshgrid(np.flatnonzero(y == 1), np.flatnonzero(y == 0)))
+    loss, gw, gv = quality.objective(model.weight, model.grams, quality._style(x, model.mean, model.scale), row, bucket, value, a, b, 0.0)
+    over = quality._here(again)
+    spread = over(quality.partial(quality._spread, model=model), quality._add)
+    w0, v0, w1, v1 = (quality._float(g) for g in over(quality.partial(quality._slope, model=model, pulls=quality._pulls(spread)), quality._add))
+    assert math.isclose(quality._loss(spread), loss, rel_tol=1e-4)
+    assert np.allclose(w0 / 50 + w1 / 70, gw, atol=1e-4) and np.allclose(v0 / 50 + v1 / 70, gv, atol=1e-4)
+    # the cut is an exact order statistic, in any blocks and with equal worths
+    worth = np.sort(np.concatenate([c.worth(model) for c in blocks]))
+    for bad in (1, 2, 49, 50, 51, 119):
+        assert quality._cut(over, model, np.array([bad, 120 - bad]), bad / 120) == (worth[bad - 1] + worth[bad]) / 2
+
+
 def test_quality_does_not_punish_questions(spark):
     docs, labels = labelled(spark)
     rows = {r.doc_id: r.text for r in docs.collect()}
