@@ -301,11 +301,11 @@ def _pulls(spread: tuple) -> np.ndarray:
     return np.stack([chance(at1[None, :] - grid) @ share1, -(chance(grid - at0[None, :]) @ share0)])
 
 
-def _slope(b: Block, model: Model, pulls: np.ndarray) -> tuple:
-    """Sums of the gradient: for each label, by style weights and by gram weights."""
+def _slope(b: Block, model: Model, pulls: np.ndarray, kept: np.ndarray) -> tuple:
+    """Sums of the gradient by style weights and by the weights of the grams kept."""
     worth = b.worth(model)
-    out = [b.back(model, np.where(b.y == y, np.interp(worth, _GRID, pulls[y]), 0)) if (b.y == y).any() else (np.zeros(2 * WIDTH), np.zeros(BUCKETS)) for y in (0, 1)]
-    return tuple(_fixed(x) for pair in out for x in pair)
+    by_style, by_gram = b.back(model, np.where(b.y == 1, np.interp(worth, _GRID, pulls[1]), np.interp(worth, _GRID, pulls[0])))
+    return _fixed(by_style), _fixed(by_gram[kept])
 
 
 def _ordered(b: Block, model: Model, low: float, high: float) -> tuple:
@@ -379,8 +379,10 @@ def _fit(over: Over, share_bad: float | None, steps: int, l2: float) -> Model:
         return _loss(spread) + l2 / 2 * float(x @ x), spread
 
     def gradient(x: np.ndarray, spread: tuple) -> np.ndarray:
-        w0, v0, w1, v1 = (_float(g) for g in over(partial(_slope, model=model_of(x), pulls=_pulls(spread)), _add))
-        return np.concatenate([w0 / bad + w1 / good, (v0 / bad + v1 / good)[kept]]) + l2 * x
+        # a text of the rarer label weighs more; by how many texts there are, so that fixed point keeps its digits
+        each = (good + bad) / np.array([[bad], [good]])
+        by_style, by_gram = over(partial(_slope, model=model_of(x), pulls=_pulls(spread) * each, kept=kept), _add)
+        return _float(np.concatenate([by_style, by_gram])) / (good + bad) + l2 * x
 
     model = model_of(_descend(measured, gradient, np.zeros(2 * WIDTH + len(kept)), steps))
     model.cut = _cut(over, model, texts, share_bad)
