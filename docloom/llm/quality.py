@@ -28,7 +28,7 @@ from .common import U, Words, arrow_rows, chunks, lean, materialize, mix, text_b
 
 CUT = 0.3
 #: The fit ends after so many steps, or when two in a row lower the loss by less than this share of it.
-STEPS, GAIN = 60, 1e-5
+STEPS, GAIN = 60, 1e-4
 #: Steps that the fit remembers for the curvature.
 MEMORY = 10
 #: Bins of worths lie between -REACH and REACH, so many for each unit; the mean of a bin stands for its texts, beyond REACH too.
@@ -133,11 +133,15 @@ class Block:
         return cls(y.astype(np.uint8), features(raw, offsets), np.cumsum(np.bincount(row, minlength=len(y))), bucket.astype(np.uint16), count.astype(np.min_scalar_type(int(count.max(initial=0)))))
 
     def packed(self) -> list[bytes]:
-        return [a.tobytes() for a in (self.y, self.style, self.ends.astype(np.int64), self.bucket, self.count)]
+        """Columns as bytes; buckets as differences in two planes, of which the upper is nearly all zeros."""
+        steps = np.diff(self.bucket, prepend=np.uint16(0)).astype("<u2").view(np.uint8).reshape(-1, 2).T
+        return [a.tobytes() for a in (self.y, self.style, self.ends.astype(np.int64), steps, self.count)]
 
     @classmethod
     def unpacked(cls, parts: list[bytes]) -> Block:
-        y, style, ends, bucket = (np.frombuffer(b, t) for b, t in zip(parts, (np.uint8, np.float64, np.int64, np.uint16)))
+        y, style, ends, steps = (np.frombuffer(b, t) for b, t in zip(parts, (np.uint8, np.float64, np.int64, np.uint8)))
+        low, high = steps.reshape(2, -1).astype(np.uint16)
+        bucket = np.cumsum(low | (high << np.uint16(8)), dtype=np.uint16)
         return cls(y, style.reshape(-1, WIDTH), ends, bucket, np.frombuffer(parts[4], f"u{max(len(parts[4]) // max(len(bucket), 1), 1)}"))
 
     def __post_init__(self) -> None:
